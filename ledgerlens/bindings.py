@@ -250,13 +250,10 @@ def hits(t: Tables) -> DataFrame:
 _LABEL_1, _LABEL_6 = SCORE_LABELS[0][0], SCORE_LABELS[-1][0]
 
 
-def answer_label(n: Column) -> Column:
+def answer_label_sql(n: str) -> str:
     """0 -> null, 1 and 6 -> the labelled ends, 7 -> 'weiss nicht', else 'Note n'."""
-    return (F.when(n == 0, F.lit(None).cast("string"))
-             .when(n == 1, F.lit(_LABEL_1))
-             .when(n == 6, F.lit(_LABEL_6))
-             .when(n == 7, F.lit("weiss nicht"))
-             .otherwise(F.concat(F.lit("Note "), _n(n))))
+    return (f"CASE {n} WHEN 0 THEN NULL WHEN 1 THEN '{_LABEL_1}' WHEN 6 THEN '{_LABEL_6}' "
+            f"WHEN 7 THEN 'weiss nicht' ELSE concat('Note ', CAST({n} AS STRING)) END")
 
 
 def raw_survey(t: Tables) -> DataFrame:
@@ -268,22 +265,22 @@ def raw_survey_from_events(e: DataFrame) -> DataFrame:
 
     Year 2019 + event_id%5; weights from the event value (pgewicht = value + 1,
     missing for every third event); answer column j is label((event_id + j) % 8).
+    The ~400 columns are given as SQL text, one call into the JVM.
     """
-    eid, uid = F.col("event_id"), F.col("user_id")
     cols = [
-        _n(F.lit(2019) + eid % 5).alias("Jahr"),
-        F.col("event_type").alias("methode"),
-        F.when(F.col("value").isNotNull(), F.format_string("%.2f", F.col("value"))).alias("sgewicht"),
-        F.when((eid % 3 != 0) & F.col("value").isNotNull(),
-               F.format_string("%.2f", F.col("value") + 1)).alias("pgewicht"),
-        _n(uid).alias("schichtId"),
-        F.concat(F.lit("Kreis "), _n(uid % 12 + 1)).alias("A1BVSKreis01"),
-        _n(uid % 34).alias("A1BVSQuar03"),
-        F.when(uid % 2 == 0, F.lit("weiblich")).otherwise(F.lit("männlich")).alias("A1BVSSex01"),
-        _n(uid % 60 + 18).alias("A1BVSAlterV03"),
+        "CAST(2019 + event_id % 5 AS STRING) AS Jahr",
+        "event_type AS methode",
+        "CASE WHEN value IS NOT NULL THEN format_string('%.2f', value) END AS sgewicht",
+        "CASE WHEN event_id % 3 <> 0 AND value IS NOT NULL THEN format_string('%.2f', value + 1) END AS pgewicht",
+        "CAST(user_id AS STRING) AS schichtId",
+        "concat('Kreis ', CAST(user_id % 12 + 1 AS STRING)) AS A1BVSKreis01",
+        "CAST(user_id % 34 AS STRING) AS A1BVSQuar03",
+        "CASE WHEN user_id % 2 = 0 THEN 'weiblich' ELSE 'männlich' END AS A1BVSSex01",
+        "CAST(user_id % 60 + 18 AS STRING) AS A1BVSAlterV03",
     ]
-    cols += [answer_label((eid + j) % 8).alias(c) for j, c in enumerate(survey_answer_columns())]
-    return e.select(*cols)
+    cols += [f"{answer_label_sql(f'((event_id + {j}) % 8)')} AS {c}"
+             for j, c in enumerate(survey_answer_columns())]
+    return e.selectExpr(*cols)
 
 
 # ------------------------------------------------------------ questionnaire

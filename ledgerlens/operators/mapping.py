@@ -46,14 +46,19 @@ class _Resolver:
         self.schema = df.schema
         self.top = {f.name.lower(): f.name for f in self.schema.fields}
 
-    def __call__(self, source: str) -> Column | None:
+    def sql(self, source: str) -> str | None:
+        """SQL reference to ``source`` or None when it does not exist."""
         if source.lower() in self.top:
-            return F.col(quote(self.top[source.lower()]))
+            return quote(self.top[source.lower()])
         path = source.split(".")
         if len(path) > 1 and _field_type(self.schema, path) is not None:
-            return F.col(".".join(quote(p) for p in path))
+            return ".".join(quote(p) for p in path)
         return None
 
+    def __call__(self, source: str) -> Column | None:
+        ref = self.sql(source)
+        return None if ref is None else F.col(ref)
+
 
 def resolve(df: DataFrame, source: str) -> Column | None:
     """Column for ``source``: a flat (possibly dotted) name first, else a
@@ -65,12 +70,12 @@ def _spark_type(t: str) -> str:
     return _TYPES.get(t.lower(), t)
 
 
-def mapped_column(src: Column | None, m: Mapping) -> Column:
+def mapped_sql(ref: str | None, m: Mapping) -> str:
     target = _spark_type(m.target_type)
-    if src is None:
-        return F.lit(None).cast(target).alias(m.target)
+    if ref is None:
+        return f"CAST(NULL AS {target}) AS {quote(m.target)}"
     # A cast to the type the column already has is removed by the optimizer.
-    return src.try_cast(target).alias(m.target)
+    return f"try_cast({ref} AS {target}) AS {quote(m.target)}"
 
 
 def apply_mapping(df: DataFrame, mappings: Iterable[Mapping]) -> DataFrame:
@@ -82,7 +87,8 @@ def apply_mapping(df: DataFrame, mappings: Iterable[Mapping]) -> DataFrame:
     missing in the source becomes a typed null.
     """
     r = _Resolver(df)
-    return df.select(*[mapped_column(r(m.source), m) for m in mappings])
+    # Built as SQL text: one call into the JVM however wide the mapping is.
+    return df.selectExpr(*[mapped_sql(r.sql(m.source), m) for m in mappings])
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
