@@ -124,3 +124,12 @@ def keep_non_empty(df: DataFrame, column: str) -> DataFrame:
 def nested(*pairs) -> Column:
     """``named_struct`` from (name, Column) pairs."""
     return F.struct(*[c.alias(n) for n, c in pairs])
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    the cluster's parallelism) before CPU-heavy row-local work, but only when
+    the input arrives in fewer partitions (a few large files or row groups).
+    On a large input this is a no-op and adds no shuffle."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

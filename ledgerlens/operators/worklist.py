@@ -47,12 +47,15 @@ def final_vote_items(hits: DataFrame, *, hit: str = "hit", phrase: str = FINAL_V
                  & _present(d["File"]["_ID"])),
         lambda d: F.struct(d["Titel"].alias("titel"), d["File"]["_ID"].alias("file_id")))
     ys = year_source if isinstance(year_source, Column) else F.lit(year_source).cast("int")
-    out = hits.select(
+    item = F.struct(
         g["GRNr"].alias("grnr"),
         F.coalesce(g["Titel"], F.lit(NO_TITLE)).alias("titel"),
         finals.alias("pdf_files"),
         ys.alias("year_source"))
-    return out.filter(_present(F.col("grnr")) & (F.size("pdf_files") > 0))
+    # The keep-condition is applied inside the generator: a Filter would be
+    # pushed below the projection and re-parse the hit once per predicate.
+    keep = F.filter(F.array(item), lambda r: _present(r["grnr"]) & (F.size(r["pdf_files"]) > 0))
+    return hits.select(F.inline(keep))
 
 
 def final_vote_documents(items: DataFrame) -> DataFrame:

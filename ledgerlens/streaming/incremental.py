@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..operators.mapping import spread
+
 BATCH_COLUMN = "batch_id"
 
 
@@ -48,16 +50,18 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
     """
     stream = stream_files(spark, source_dir, schema, fmt=fmt, glob=glob,
                           max_files_per_trigger=max_files_per_trigger)
-    cleaned = clean_fn(stream)
     if dedup_keys:
-        cleaned = cleaned.dropDuplicates(list(dedup_keys))
+        stream = stream.dropDuplicates(list(dedup_keys))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn(BATCH_COLUMN, F.lit(batch_id))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(BATCH_COLUMN).format(sink_format).save(sink))
+        # The batch is an ordinary DataFrame: the batch job's clean function
+        # applies unchanged, spread over the cluster if the batch came in few
+        # partitions.
+        (clean_fn(spread(batch)).withColumn(BATCH_COLUMN, F.lit(batch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BATCH_COLUMN).format(sink_format).save(sink))
 
-    q = (cleaned.writeStream.foreachBatch(write_batch)
+    q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
