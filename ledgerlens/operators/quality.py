@@ -151,7 +151,16 @@ def evaluate(df: DataFrame, rules, *, on_fail: str = "report", approx: bool = Fa
     the default only reports, so a failed check never blocks the data.
     """
     rules = _flat(rules)
-    aggs = [r.metric(df, approx).alias(f"m{i}") for i, r in enumerate(rules)]
+    present = {c.lower() for c in df.columns}
+
+    def metric(r):
+        # A rule on a column the data does not have reports no metric and fails.
+        col = getattr(r, "column", None)
+        if col is not None and col.lower() not in present:
+            return F.lit(None).cast("double")
+        return r.metric(df, approx)
+
+    aggs = [metric(r).alias(f"m{i}") for i, r in enumerate(rules)]
     metrics = df.agg(*aggs)
     rows = []
     for i, r in enumerate(rules):

@@ -46,7 +46,18 @@ def read_envelope(spark: SparkSession, path: str | list[str], record: StructType
         r = r.option("recursiveFileLookup", True)
     df = r.json(path)
     keys = [c for c in df.columns if c != field]
-    return df.select(*keys, F.inline(F.col(field)))
+    rec = {f.name.lower(): f for f in record.fields}
+    clash = [k for k in keys if k.lower() in rec]
+    x = df.select(*[F.col(k).alias("__path_" + k) if k in clash else F.col(k) for k in keys],
+                  F.inline(F.col(field)))
+    # A key present both in the directory name and in the record: the record
+    # value wins, the path key (cast to the record's type) fills in.
+    out = [F.col(k) for k in keys if k not in clash]
+    for f in record.fields:
+        hit = [k for k in clash if k.lower() == f.name.lower()]
+        c = F.col(f.name)
+        out.append(F.coalesce(c, F.col("__path_" + hit[0]).try_cast(f.dataType)).alias(f.name) if hit else c)
+    return x.select(*out)
 
 
 def read_partitioned_json(spark: SparkSession, path: str, record: StructType) -> DataFrame:
