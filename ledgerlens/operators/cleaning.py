@@ -99,3 +99,35 @@ def clean_and_check(name: str, raw: DataFrame, *, on_fail: str = "report",
     fn, rules = CLEAN_JOBS[name]
     clean = fn(raw)
     return clean, quality.evaluate(clean, rules, on_fail=on_fail, approx=approx)
+
+
+def run_clean_job(name: str, raw: DataFrame, path: str, *, table: str | None = None,
+                  partition_by=(), on_fail: str = "report", results_path: str | None = None,
+                  run_id: str = "manual") -> DataFrame:
+    """A complete clean job: clean -> quality check -> write, in one pass.
+
+    The non-distinct metrics are observed while the clean table is written
+    (no second scan of the raw data); distinct counts are then computed from
+    the written table, reading only the key column.  With ``on_fail="error"``
+    the data is checked first (one extra aggregate pass) and nothing is
+    written when a rule fails.  Returns the report.
+    """
+    from ..sources.writers import write_clean
+
+    fn, rules = CLEAN_JOBS[name]
+    clean = fn(raw)
+    if on_fail == "error":
+        quality.evaluate(clean, rules, on_fail="error")
+    observed, obs, deferred = quality.observe_rules(clean, rules, name=f"dq_{name}")
+    write_clean(observed, path, partition_by=partition_by, table=table)
+    report = quality.report_from_observation(raw.sparkSession, clean.columns, rules, obs)
+    if deferred:
+        written = raw.sparkSession.read.parquet(path)
+        full = quality._flat(rules)
+        extra = quality.evaluate(written, deferred)
+        numbers = {r.describe(): full.index(r) + 1 for r in deferred}
+        mapping = F.create_map(*[x for k, v in numbers.items() for x in (F.lit(k), F.lit(v))])
+        report = report.unionByName(extra.withColumn("rule_no", mapping[F.col("rule")]))
+    if results_path:
+        quality.publish_report(report, results_path, context=name, run_id=run_id)
+    return report

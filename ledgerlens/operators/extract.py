@@ -71,6 +71,25 @@ def extract_protocol(df: DataFrame, *, text: str = "text", doc: str = "doc",
     return src.select(F.col(doc).alias("Dateiname"), *fields)
 
 
+def with_status(votes: DataFrame) -> DataFrame:
+    """Per-document outcome: ``ok`` (all fields found), ``partial`` (number
+    found, something else missing) or ``error`` (no business number).  A bad
+    document never stops the others; the counters are one aggregate over it."""
+    number = F.col("Geschäftsnummer").isNotNull()
+    complete = F.col("Stimm_Datum").isNotNull() & F.col("Stimm_Zeit").isNotNull() & F.col("JA").isNotNull()
+    return votes.withColumn("status", F.when(~number, F.lit("error"))
+                            .when(complete, F.lit("ok")).otherwise(F.lit("partial")))
+
+
+def run_counters(votes: DataFrame) -> DataFrame:
+    """``processed, parsed, partial, errors`` over extracted vote records."""
+    s = F.col("status")
+    return with_status(votes).agg(F.count(F.lit(1)).alias("processed"),
+                                  F.count_if(s == "ok").alias("parsed"),
+                                  F.count_if(s == "partial").alias("partial"),
+                                  F.count_if(s == "error").alias("errors"))
+
+
 def extract_questions(df: DataFrame, *, text: str = "text", year: str = "year",
                       page: str = "page", pattern: str = QUESTION_PATTERN,
                       stop_prefix: str = STOP_PREFIX, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -184,6 +184,73 @@ def evaluate(df: DataFrame, rules, *, on_fail: str = "report", approx: bool = Fa
     return report
 
 
+def observe_rules(df: DataFrame, rules, name: str = "dq"):
+    """Attach the non-distinct rule metrics to ``df`` as an observation.
+
+    The metrics are then computed by whatever action runs next (typically the
+    write of the clean table) in the same pass over the data, instead of a
+    second scan.  Returns ``(observed_df, observation, deferred_rules)``;
+    distinct-count rules cannot be observed and are returned as deferred.
+    """
+    from pyspark.sql import Observation
+
+    rules = _flat(rules)
+    present = {c.lower() for c in df.columns}
+    obs = Observation(name)
+    aggs, deferred = [], []
+    for i, r in enumerate(rules):
+        col = getattr(r, "column", None)
+        if isinstance(r, DistinctCount):
+            deferred.append(r)
+        elif isinstance(r, ColumnCount):
+            continue
+        elif col is not None and col.lower() not in present:
+            continue
+        else:
+            aggs.append(r.metric(df, False).alias(f"m{i}"))
+    observed = df.observe(obs, *aggs) if aggs else df
+    return observed, obs, deferred
+
+
+def report_from_observation(spark, df_columns: list[str], rules, observation) -> DataFrame:
+    """Report rows (same shape as :func:`evaluate`) from an observation that
+    has been filled by an action; distinct-count rows are left out."""
+    rules = _flat(rules)
+    values = observation.get
+    rows = []
+    for i, r in enumerate(rules):
+        if isinstance(r, DistinctCount):
+            continue
+        if isinstance(r, ColumnCount):
+            m = float(len(df_columns))
+        else:
+            v = values.get(f"m{i}")
+            m = None if v is None else float(v)
+        rows.append((i + 1, r.describe(), getattr(r, "column", None), m, r.threshold))
+    schema = "rule_no int, rule string, column string, metric double, threshold double"
+    base = spark.createDataFrame(rows, schema)
+    passed = None
+    for i, r in enumerate(rules):
+        if isinstance(r, DistinctCount):
+            continue
+        cond = (F.col("rule_no") == i + 1) & F.coalesce(r.passed(F.col("metric")), F.lit(False))
+        passed = cond if passed is None else passed | cond
+    return base.withColumn("outcome", F.when(passed, "Passed").otherwise("Failed"))
+
+
+def publish_report(report: DataFrame, path: str, *, context: str, run_id: str) -> bool:
+    """Append a report to the shared results table, best effort: a failure to
+    publish is logged and never fails the job.  Returns True when written."""
+    try:
+        (report.withColumn("context", F.lit(context)).withColumn("run_id", F.lit(run_id))
+               .write.mode("append").parquet(path))
+        return True
+    except Exception as e:  # noqa: BLE001 - publishing must not break the job
+        import logging
+        logging.getLogger(__name__).warning("could not publish data-quality results: %s", e)
+        return False
+
+
 # ---------------------------------------------------------------------------
 # Rule sets of the six clean tables.
 # ---------------------------------------------------------------------------

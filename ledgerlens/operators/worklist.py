@@ -73,7 +73,8 @@ def number_documents(items: DataFrame) -> DataFrame:
     base = F.replace(F.col("grnr"), F.lit("/"), F.lit("-"))
     ordinal = (F.col("pos") + 1).cast("int")
     return (x.filter(_present(F.col("f.file_id")))
-             .select("grnr", ordinal.alias("ordinal"), F.col("f.titel").alias("doc_titel"),
+             .select("grnr", ordinal.alias("ordinal"),
+                     F.coalesce(F.col("f.titel"), F.lit("unknown")).alias("doc_titel"),
                      F.col("f.file_id").alias("file_id"),
                      F.concat(base, F.lit("_abstimmung_"), ordinal.cast("string"), F.lit(".pdf"))
                       .alias("pdf_filename")))

@@ -17,7 +17,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from .. import bindings as B
 from ..functions.dates import daily_window, in_window, ts_literal
 from ..operators import cleaning, quality
-from ..operators.extract import extract_protocol, extract_questions, questions_per_year
+from ..operators.extract import extract_protocol, extract_questions, questions_per_year, run_counters
 from ..operators.worklist import (
     coverage_gaps,
     final_vote_documents,
@@ -167,13 +167,7 @@ def q_questions_per_year(spark, sf):
 
 
 def q_run_counters(spark, sf):
-    x = extract_protocol(B.protocol_text(_t(spark, sf)))
-    number = F.col("Geschäftsnummer").isNotNull()
-    complete = F.col("Stimm_Datum").isNotNull() & F.col("Stimm_Zeit").isNotNull() & F.col("JA").isNotNull()
-    return x.agg(F.count(F.lit(1)).alias("processed"),
-                 F.count_if(number & complete).alias("parsed"),
-                 F.count_if(number & ~complete).alias("partial"),
-                 F.count_if(~number).alias("errors"))
+    return run_counters(extract_protocol(B.protocol_text(_t(spark, sf))))
 
 
 # ------------------------------------------------------------------ work lists

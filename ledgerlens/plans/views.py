@@ -187,6 +187,14 @@ def satisfaction_link(change: DataFrame, satisfaction: DataFrame, year_offset: i
                     "beliebtheit_same_year", "beliebtheit_next_year"))
 
 
+# --------------------------------------------------------------------- O1
+
+def for_reader(df: DataFrame, *cols: str) -> DataFrame:
+    """Sort at the reader-facing edge only (never inside a view): ascending,
+    nulls last.  On a large result this is a range-partitioned sort."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in (cols or ("year",))])
+
+
 # --------------------------------------------------------------------- K8
 
 def register_views(spark: SparkSession, *, spending: DataFrame | None = None,

@@ -53,3 +53,30 @@ def test_clean_and_check_passes_rows_through(spark):
                                 "betrag string, betragstyp string, institution string, jahr int, sachkonto string")
     clean, rep = clean_and_check("spending", raw)
     assert clean.count() == 1 and rep.filter("outcome = 'Failed'").count() == 0
+
+
+def test_clean_job_observes_metrics_during_write(spark, tmp_path):
+    from ledgerlens.operators.cleaning import run_clean_job
+    raw = spark.createDataFrame([("1.5", "RECHNUNG", "1", 2020, "30"), ("", "RECHNUNG", None, 2021, "31")],
+                                "betrag string, betragstyp string, institution string, jahr int, sachkonto string")
+    rep = run_clean_job("spending", raw, str(tmp_path / "clean"), results_path=str(tmp_path / "dq"), run_id="t1")
+    got = {r.rule: (r.metric, r.outcome) for r in rep.collect()}
+    assert got['Completeness "betrag" >= 0.95'] == (0.5, "Failed")
+    assert got['DistinctValuesCount "sachkonto" > 0'] == (2.0, "Passed")
+    assert got["RowCount > 0"] == (2.0, "Passed") and got["ColumnCount > 0"] == (5.0, "Passed")
+    assert sorted(r.rule_no for r in rep.collect()) == list(range(1, 11))
+    assert spark.read.parquet(str(tmp_path / "clean")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "dq")).filter("run_id = 't1'").count() == 10
+    same = {r.rule: (r.metric, r.outcome) for r in Q.evaluate(
+        spark.read.parquet(str(tmp_path / "clean")), Q.SPENDING_RULES).collect()}
+    assert same == got
+
+
+def test_error_mode_writes_nothing(spark, tmp_path):
+    from ledgerlens.operators.cleaning import run_clean_job
+    raw = spark.createDataFrame([("", "RECHNUNG", None, 2021, None)],
+                                "betrag string, betragstyp string, institution string, jahr int, sachkonto string")
+    with pytest.raises(Q.DataQualityError):
+        run_clean_job("spending", raw, str(tmp_path / "clean"), on_fail="error")
+    import os
+    assert not os.path.exists(str(tmp_path / "clean"))
