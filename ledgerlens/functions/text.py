@@ -32,15 +32,23 @@ def ustrip(c: str | Column) -> Column:
     return F.regexp_replace(col_of(c), _STRIP, "")
 
 
-def field(text: str | Column, pattern: str, group: int = 1) -> Column:
-    """First match of ``pattern`` in ``text`` (group ``group``); null when no match."""
+def field(text: str | Column, pattern: str, group: int = 1, *, group_never_empty: bool = False) -> Column:
+    """First match of ``pattern`` in ``text`` (group ``group``); null when no match.
+
+    When the group cannot match the empty string (one or more digits, say), an empty
+    extract already means "no match" and the text is scanned once instead of
+    twice.
+    """
     t = col_of(text)
+    if group_never_empty:
+        return F.nullif(F.regexp_extract(t, pattern, group), F.lit(""))
     return F.when(t.rlike(pattern), F.regexp_extract(t, pattern, group))
 
 
 def int_field(text: str | Column, pattern: str, group: int = 1) -> Column:
-    """Integer captured by ``pattern``; null when absent or not a number."""
-    return field(text, pattern, group).try_cast("int")
+    """Integer captured by ``pattern`` (a group of one or more digits); null
+    when absent or not a number."""
+    return field(text, pattern, group, group_never_empty=True).try_cast("int")
 
 
 def non_empty(c: str | Column) -> Column:

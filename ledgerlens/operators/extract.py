@@ -46,9 +46,9 @@ def protocol_fields(text: Column) -> list[Column]:
     title = ustrip(F.regexp_replace(field(text, P_TITLE), "\n", " "))
     cols = [
         title.alias("Geschäftstitel"),
-        field(text, P_NUMBER).alias("Geschäftsnummer"),
-        field(text, P_DATE).alias("Stimm_Datum"),
-        field(text, P_TIME).alias("Stimm_Zeit"),
+        field(text, P_NUMBER, group_never_empty=True).alias("Geschäftsnummer"),
+        field(text, P_DATE, group_never_empty=True).alias("Stimm_Datum"),
+        field(text, P_TIME, group_never_empty=True).alias("Stimm_Zeit"),
     ]
     cols += [int_field(text, p).alias(name) for name, p in P_COUNTERS]
     cols.append(tie_breaker(text).alias("Stichentscheid"))
@@ -67,8 +67,12 @@ def extract_protocol(df: DataFrame, *, text: str = "text", doc: str = "doc",
     t = F.col(text)
     fields = protocol_fields(t)
     if context is not None:
-        fields[1] = F.coalesce(field(t, P_NUMBER), F.col(context)).alias("Geschäftsnummer")
-    return src.select(F.col(doc).alias("Dateiname"), *fields)
+        fields[1] = F.coalesce(field(t, P_NUMBER, group_never_empty=True),
+                               F.col(context)).alias("Geschäftsnummer")
+    # Emitted through a one-row generator: a later filter on an extracted
+    # field (e.g. the non-empty business number) cannot be pushed below it,
+    # so the regular expressions run once per document, after any spread.
+    return src.select(F.inline(F.array(F.struct(F.col(doc).alias("Dateiname"), *fields))))
 
 
 def with_status(votes: DataFrame) -> DataFrame:
