@@ -174,15 +174,25 @@ def satisfaction_by_year(scored: DataFrame) -> DataFrame:
 def satisfaction_link(change: DataFrame, satisfaction: DataFrame, year_offset: int = 0) -> DataFrame:
     """Extension of RQ4: spending change next to satisfaction in the same and
     in the following year.  ``year_offset`` is added to the survey years
-    before matching (for aligning differently dated sources)."""
-    sat = satisfaction.select((F.col("year") + F.lit(year_offset)).alias("year"),
-                              "avg_quality_of_life", "avg_beliebtheit_zh")
-    same = sat.select("year", F.col("avg_quality_of_life").alias("quality_same_year"),
-                      F.col("avg_beliebtheit_zh").alias("beliebtheit_same_year"))
-    nxt = sat.select((F.col("year") - 1).alias("year"),
-                     F.col("avg_quality_of_life").alias("quality_next_year"),
-                     F.col("avg_beliebtheit_zh").alias("beliebtheit_next_year"))
-    return (change.join(same, "year", "left").join(nxt, "year", "left")
+    before matching (for aligning differently dated sources).
+
+    The satisfaction aggregate is computed once: each survey year is emitted
+    twice, as (year, same) and (year - 1, next), folded back to one row per
+    year, and joined to the spending change once.
+    """
+    y = F.col("year") + F.lit(year_offset)
+    q, b = F.col("avg_quality_of_life"), F.col("avg_beliebtheit_zh")
+    twice = satisfaction.select(F.explode(F.array(
+        F.struct(y.alias("year"), F.lit(True).alias("same"), q.alias("q"), b.alias("b")),
+        F.struct((y - 1).alias("year"), F.lit(False).alias("same"), q.alias("q"), b.alias("b")),
+    )).alias("s")).select("s.*")
+    same, nxt = F.col("same"), ~F.col("same")
+    wide = twice.groupBy("year").agg(
+        F.max(F.when(same, F.col("q"))).alias("quality_same_year"),
+        F.max(F.when(nxt, F.col("q"))).alias("quality_next_year"),
+        F.max(F.when(same, F.col("b"))).alias("beliebtheit_same_year"),
+        F.max(F.when(nxt, F.col("b"))).alias("beliebtheit_next_year"))
+    return (change.join(wide, "year", "left")
             .select("year", "expenditure_change", "quality_same_year", "quality_next_year",
                     "beliebtheit_same_year", "beliebtheit_next_year"))
 
