@@ -19,7 +19,13 @@ from ..schemas import HIT_XML, survey_columns
 def read_records(spark: SparkSession, path: str | list[str], schema: StructType, *,
                  multiline: bool = True, recursive: bool = True, glob: str | None = None,
                  corrupt_column: str | None = None) -> DataFrame:
-    """JSON records (one object per line, or a JSON array per file)."""
+    """JSON records (one object per line, or a JSON array per file).
+
+    With ``corrupt_column`` a record that does not parse is kept, with its raw
+    text in that column and the other fields null, instead of failing the job.
+    """
+    if corrupt_column and corrupt_column not in schema.fieldNames():
+        schema = StructType(list(schema.fields) + [StructField(corrupt_column, StringType())])
     r = spark.read.schema(schema).option("multiLine", multiline)
     if recursive:
         r = r.option("recursiveFileLookup", True)

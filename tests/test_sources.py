@@ -113,3 +113,17 @@ def test_clean_table_with_catalog(spark, tmp_path):
     writers.write_clean(df, str(tmp_path / "t"), table="ledgerlens_test_clean")
     assert spark.table("ledgerlens_test_clean").count() == 1
     spark.sql("DROP TABLE ledgerlens_test_clean")
+
+
+def test_corrupt_records_are_kept_aside(spark, tmp_path):
+    write(str(tmp_path / "items" / "a.json"), '{"institution": "0010", "jahr": 2020, "betragstyp": "RECHNUNG"}\n'
+          '{"institution": "0020", "jahr": \n')
+    from ledgerlens.schemas import WORK_ITEM
+    df = readers.read_records(spark, str(tmp_path / "items"), WORK_ITEM, multiline=False,
+                              corrupt_column="_corrupt_record")
+    rows = sorted(df.collect(), key=lambda r: str(r.institution))
+    good = [r for r in rows if r._corrupt_record is None]
+    bad = [r for r in rows if r._corrupt_record is not None]
+    assert [(r.institution, r.jahr) for r in good] == [("0010", 2020)]
+    assert len(bad) == 1 and bad[0].institution is None
+    assert bad[0]._corrupt_record.startswith('{"institution": "0020"')

@@ -77,3 +77,26 @@ def test_register_views(spark):
                              institutions=B.institutions(t))
     assert "v_rq1_expenditure_trends" in names
     assert spark.sql("SELECT count(*) FROM v_rq2_spending_vs_decisions").first()[0] > 0
+
+
+def test_hot_institution_against_brute_force(spark):
+    """One institution holds a third of all rows; results equal a plain-Python sum."""
+    import random
+    from decimal import Decimal
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        inst = "0" if i % 3 == 0 else str(rnd.randint(1, 40))
+        rows.append((round(rnd.uniform(-50, 500), 2), rnd.choice(["RECHNUNG", "STADTRAT_ANTRAG"]), inst,
+                     rnd.choice([2019, 2020, 2021]), str(rnd.randint(30, 39))))
+    df = spark.createDataFrame(rows, SPENDING).repartition(6)
+    inst = spark.createDataFrame([(str(k), f"D{k % 4}") for k in range(0, 41)],
+                                 "key string, `departement.bezeichnung` string")
+    got = {(r.department, r.impact_category): r.spend_chf
+           for r in V.impact_by_department(V.enrich_spending(df), inst).collect()}
+    want = {}
+    for b, _, i, _, acct in rows:
+        cat = "Citizen Impact" if acct in ("30", "31", "33", "34", "35", "36", "39") else "Overhead"
+        k = (f"D{int(i) % 4}", cat)
+        want[k] = want.get(k, Decimal(0)) + Decimal(str(b))
+    assert got == {k: float(v) for k, v in want.items()}
