@@ -127,9 +127,10 @@ def nested(*pairs) -> Column:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default:
-    the cluster's parallelism) before CPU-heavy row-local work, but only when
-    the input arrives in fewer partitions (a few large files or row groups).
-    On a large input this is a no-op and adds no shuffle."""
+    """Round-robin the rows over the cluster's cores before CPU-heavy
+    row-local work, but only when that at least doubles the parallelism
+    (the input arrives as a few large files or row groups).  A large input
+    already has more partitions than cores: then this is a no-op and adds no
+    shuffle."""
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df.repartition(n) if 2 * df.rdd.getNumPartitions() <= n else df
