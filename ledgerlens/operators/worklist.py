@@ -110,6 +110,52 @@ def coverage_gaps(grid: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Dat
     return grid.join(distinct_keys(facts, keys), list(keys), "left_anti")
 
 
+def missing_combinations(facts: DataFrame, entity: str, dims: dict[str, Sequence],
+                         entities: DataFrame | None = None) -> DataFrame:
+    """Coverage gaps without materialising the grid: for every entity, the
+    combinations of the parameter lists ``dims`` (e.g. years x amount types)
+    for which no fact row exists.
+
+    Every combination has a number; each fact row sets its combination's bit
+    in a few 64-bit words, OR-ed together per entity (``bit_or``: a plain hash
+    aggregate, combined map-side, so a hot entity ships one row per task).
+    The state per entity is bounded by the grid size, a parameter.  The
+    missing combinations are then generated row-locally from the unset bits;
+    only one small row per entity and task crosses the network, and the grid
+    itself is never shuffled.  ``entities`` (one column named ``entity``)
+    adds entities without any fact.
+    """
+    names = list(dims)
+    sizes = [len(dims[n]) for n in names]
+    strides = [1] * len(names)
+    for i in range(len(names) - 2, -1, -1):
+        strides[i] = strides[i + 1] * sizes[i + 1]
+    total = strides[0] * sizes[0] if names else 0
+    n_words = (total + 63) // 64
+    lits = {n: F.array(*[F.lit(v) for v in dims[n]]) for n in names}
+
+    pos = {n: F.array_position(lits[n], F.col(n)).cast("long") - 1 for n in names}
+    in_grid = None
+    idx = F.lit(0).cast("long")
+    for n, stride in zip(names, strides):
+        ok = pos[n] >= 0
+        in_grid = ok if in_grid is None else in_grid & ok
+        idx = idx + pos[n] * stride
+    words = [F.expr(f"bit_or(CASE WHEN _idx DIV 64 = {k} THEN shiftleft(1L, CAST(_idx % 64 AS INT)) END)")
+             .alias(f"_w{k}") for k in range(n_words)]
+    have = (facts.filter(in_grid).select(F.col(entity), idx.alias("_idx"))
+            .groupBy(entity).agg(*words))
+    if entities is not None:
+        have = entities.select(entity).distinct().join(have, entity, "left")
+    bits = F.array(*[F.coalesce(F.col(f"_w{k}"), F.lit(0).cast("long")) for k in range(n_words)])
+    cand = have.select(entity, bits.alias("_bits"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), F.lit(total - 1).cast("long"))).alias("_i"))
+    unset = F.expr("shiftright(element_at(_bits, CAST(_i DIV 64 + 1 AS INT)), CAST(_i % 64 AS INT)) & 1L") == 0
+    return cand.filter(unset).select(
+        entity, *[F.element_at(lits[n], (F.floor(F.col("_i") / stride) % size + 1).cast("int")).alias(n)
+                  for n, stride, size in zip(names, strides, sizes)])
+
+
 def pending(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Work items not finished yet (idempotent re-runs skip what exists)."""
     return work.join(distinct_keys(done, keys), list(keys), "left_anti")

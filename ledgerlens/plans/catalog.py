@@ -23,6 +23,7 @@ from ..operators.worklist import (
     final_vote_documents,
     final_vote_items,
     items_to_json,
+    missing_combinations,
     number_documents,
     pending,
     work_grid,
@@ -212,12 +213,11 @@ def q_work_grid(spark, sf):
 
 def q_coverage_gaps(spark, sf):
     e = _t(spark, sf).events
-    users = e.select("user_id").distinct()
-    days = F.sequence(F.lit(EVENT_DAYS[0]).cast("date"), F.lit(EVENT_DAYS[1]).cast("date"))
-    grid = (users.select("user_id", F.explode(days).alias("day"))
-            .select("user_id", "day", F.explode(F.array(*[F.lit(x) for x in EVENT_TYPES])).alias("event_type")))
+    lo, hi = (_dt.date.fromisoformat(d) for d in EVENT_DAYS)
+    days = [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
     facts = e.select("user_id", "event_type", F.to_date("ts").alias("day"))
-    return coverage_gaps(grid, facts, ["user_id", "event_type", "day"])
+    return missing_combinations(facts, "user_id", {"day": days, "event_type": list(EVENT_TYPES)}) \
+        .select("user_id", "event_type", "day")
 
 
 def q_pending_work(spark, sf):

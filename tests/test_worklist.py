@@ -87,3 +87,18 @@ def test_load_windows():
     assert [w.year_source for w in load_windows("range", now, 2019, 2021)] == [2019, 2020, 2021]
     assert load_windows("initial", now)[0].start == dt.datetime(2019, 1, 1)
     assert load_windows("daily", now)[0].label == "Day 2025-03-01"
+
+
+def test_missing_combinations_equals_grid_anti_join(spark):
+    facts = spark.createDataFrame([("1", 2019, "RECHNUNG"), ("1", 2019, "RECHNUNG"), ("1", 2020, "BUDGET"),
+                                   ("2", 2019, "RECHNUNG"), ("2", 1990, "RECHNUNG")],
+                                  "institution string, jahr int, betragstyp string")
+    inst = spark.createDataFrame([("1",), ("2",), ("3",)], "institution string")
+    from ledgerlens.operators.worklist import missing_combinations
+    got = missing_combinations(facts, "institution", {"jahr": [2019, 2020], "betragstyp": ["RECHNUNG", "X"]},
+                               entities=inst)
+    grid = work_grid(inst, [2019, 2020], ["RECHNUNG", "X"])
+    want = coverage_gaps(grid, facts, ["institution", "jahr", "betragstyp"])
+    cols = ["institution", "jahr", "betragstyp"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    assert got.count() == 3 + 3 + 4
