@@ -43,3 +43,21 @@ def test_department_views_aggregate_before_join(spark):
     p = E.queries()["rq3_impact_by_department"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     join_at = p.index("Join LeftOuter")
     assert "Aggregate" in p[join_at:]  # the fact side is aggregated below the join
+
+
+def test_spread_is_a_no_op_on_partitioned_input(spark):
+    from ledgerlens.operators.mapping import spread
+    many = spark.range(0, 1000, numPartitions=16)
+    assert "Exchange" not in plan(spread(many))
+    one = spark.range(0, 1000, numPartitions=1)
+    assert "RoundRobinPartitioning" in plan(spread(one))
+
+
+def test_coverage_gaps_shuffle_once_without_join(spark):
+    p = plan(E.queries()["coverage_gaps"](spark, SF_SMALL))
+    assert p.count("Exchange ") == 1 and "Join" not in p
+
+
+def test_x1_scans_the_survey_once(spark):
+    p = plan(E.queries()["x1_satisfaction_link"](spark, SF_SMALL)).split("== Initial Plan ==")[-1]
+    assert p.count("events.parquet") == 1
