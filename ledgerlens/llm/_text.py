@@ -103,10 +103,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of each word's bytes (A-Z folded to a-z if ``lower``)."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True,
+                code: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each word's bytes (A-Z folded to a-z if ``lower``; or by
+    a code for each byte value)."""
     out = np.empty(len(starts), np.uint64)
-    code = _CODE_LOWER if lower else _CODE
+    code = (_CODE_LOWER if lower else _CODE) if code is None else code
     a = 0
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + _BLOCK, "right")))

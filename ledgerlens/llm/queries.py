@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontam, jaccard, langid, linededup, mixing
+from ledgerlens.llm import decontam, jaccard, langid, linecrf, linededup, mixing, pii, puquality, toxicity, warc
 from ledgerlens.llm._spark import fold, ship, table
 from ledgerlens.session import apply_defaults
 
 
-def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ready(spark: SparkSession) -> None:
     apply_defaults(spark)
     ship(spark)
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
     return table(spark, sf_dir, "documents")
 
 
@@ -25,6 +29,26 @@ def op2_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir))
 
 
+def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return pii.find(docs, pii.fit(docs))
+
+
+def op4_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _ready(spark)
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op5_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return puquality.predict(docs, puquality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op6_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return linecrf.predict(docs, linecrf.fit(docs))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -32,6 +56,11 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return toxicity.predict(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir).select("doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out"))
     model = langid.fit(docs.filter(~F.col("held_out")))
@@ -51,7 +80,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_poisson_mixing": op2_poisson_mixing,
+    "op3_pii_spans": op3_pii_spans,
+    "op4_warc_bundles": op4_warc_bundles,
+    "op5_quality_pu": op5_quality_pu,
+    "op6_quality_lines": op6_quality_lines,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
     "pipeline": pipeline,
