@@ -25,7 +25,7 @@ FROM d JOIN k ON d.who = k.who AND d.source IS NOT DISTINCT FROM k.source, unnes
 WITH p AS (SELECT page_id, coalesce(html, '') h, sha1(coalesce(html, '')) s FROM pages),
 f AS (SELECT s, min(page_id) AS response FROM p GROUP BY s)
 SELECT page_id, octet_length(encode(h)) AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
            (((('0x' || substr(s, 1 + 5 * (k // 4)::INT, 5))::BIGINT >> (15 - 5 * (k % 4))::INT) & 31))::INT, 1)), '') AS payload_digest,
        CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
