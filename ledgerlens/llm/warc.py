@@ -181,9 +181,14 @@ def _rows(found, payloads: bool):
                                       names=["id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"])
 
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def read_archives(index: DataFrame, payloads: bool = False) -> DataFrame:
     """All records of the index's bundles, frame by frame."""
-    bundles = index.groupBy("bundle").count().select("bundle").repartition("bundle")
+    # a task reads whole bundles; the names alone are too small to tell a planner how many tasks that takes
+    bundles = index.select("bundle").distinct().repartition(_tasks(index), "bundle")
 
     def run(batches):
         import zstandard
@@ -206,7 +211,7 @@ def read_archives(index: DataFrame, payloads: bool = False) -> DataFrame:
 def fetch(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of these index rows alone: each frame they are in is sought
     by the seek table and read once; the offset within it finds the record."""
-    at = index.select("bundle", "frame", "offset").repartition("bundle", "frame").sortWithinPartitions("bundle", "frame")
+    at = index.select("bundle", "frame", "offset").repartition(_tasks(index), "bundle", "frame").sortWithinPartitions("bundle", "frame")
 
     def run(batches):
         import zstandard
