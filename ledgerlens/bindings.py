@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from .operators.cleaning import clean_votes
 from .operators.extract import extract_protocol, split_pages
-from .operators.mapping import spread
 from .operators.worklist import parse_hits
 from .schemas import SCORE_LABELS, survey_answer_columns
 from .session import table_path
@@ -142,7 +141,7 @@ def protocol_text(t: Tables) -> DataFrame:
     ``JA:`` every 11th, a non-number yes count every 19th, and the tie-breaker
     is a name, the city footer on the next line, or absent.
     """
-    o = spread(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"))
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
     k = F.col("o_orderkey")
     nbsp = "\u00a0"  # no-break space
     number = F.when(k % 50 == 0, F.lit("Geschäfts#: offen")).otherwise(
@@ -221,7 +220,7 @@ def hits_xml(t: Tables) -> DataFrame:
     a multiple of 11.  Every 50th order has no business number, every 9th no
     title.
     """
-    o = spread(t.orders.select("o_orderkey", "o_orderdate"))
+    o = t.orders.select("o_orderkey", "o_orderdate")
     k = F.col("o_orderkey")
     tasks = F.transform(
         F.sequence(F.lit(1).cast("bigint"), (k % 3 + 1)),
@@ -258,7 +257,7 @@ def answer_label_sql(n: str) -> str:
 
 
 def raw_survey(t: Tables) -> DataFrame:
-    return raw_survey_from_events(spread(t.events.select("event_id", "user_id", "event_type", "value")))
+    return raw_survey_from_events(t.events.select("event_id", "user_id", "event_type", "value"))
 
 
 def raw_survey_from_events(e: DataFrame) -> DataFrame:
@@ -292,5 +291,5 @@ QUESTION_BINDING_PATTERN = r"^([AE][a-z]*) +(.*)"
 def questionnaire_pages(t: Tables) -> DataFrame:
     """``(doc_id, year, page, text)``: a document's language stands in for the
     questionnaire year; pages are split at form feeds."""
-    d = spread(t.documents.select("doc_id", F.col("lang").alias("year"), "text"))
+    d = t.documents.select("doc_id", F.col("lang").alias("year"), "text")
     return split_pages(d)

@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Leading/trailing Unicode whitespace, the rule of Python's str.strip().
-_STRIP = r"(?U)^\s+|\s+$"
+# The characters that Python's str.strip() removes: fixed values.
+_STRIP = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+          + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def col_of(c: str | Column) -> Column:
@@ -29,7 +30,7 @@ def col_of(c: str | Column) -> Column:
 
 def ustrip(c: str | Column) -> Column:
     """Remove leading and trailing Unicode whitespace (``str.strip``)."""
-    return F.regexp_replace(col_of(c), _STRIP, "")
+    return F.btrim(col_of(c), F.lit(_STRIP))
 
 
 def field(text: str | Column, pattern: str, group: int = 1, *, group_never_empty: bool = False) -> Column:

@@ -120,17 +120,3 @@ def keep_non_empty(df: DataFrame, column: str) -> DataFrame:
     """Keep rows whose key has at least one character before any newline."""
     return df.filter(non_empty(F.col(quote(column))))
 
-
-def nested(*pairs) -> Column:
-    """``named_struct`` from (name, Column) pairs."""
-    return F.struct(*[c.alias(n) for n, c in pairs])
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster's cores before CPU-heavy
-    row-local work, but only when that at least doubles the parallelism
-    (the input arrives as a few large files or row groups).  A large input
-    already has more partitions than cores: then this is a no-op and adds no
-    shuffle."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if 2 * df.rdd.getNumPartitions() <= n else df

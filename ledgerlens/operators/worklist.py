@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import contains_ci
 from ..schemas import AMOUNT_TYPES, FINAL_VOTE_PHRASE, HIT_XML, NO_TITLE
@@ -25,6 +26,15 @@ def parse_hits(df: DataFrame, xml: str = "xml") -> DataFrame:
     return df.select("*", F.from_xml(F.col(xml), HIT_XML, {"mode": "PERMISSIVE"}).alias("hit"))
 
 
+def rejected_hits(df: DataFrame, xml: str = "xml") -> DataFrame:
+    """The rows whose XML does not parse as a hit, with the raw text in
+    ``_corrupt_record``; :func:`final_vote_items` has no item of them."""
+    schema = StructType([*HIT_XML.fields, StructField("_corrupt_record", StringType())])
+    hit = F.from_xml(F.col(xml), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    bad = df.select("*", F.explode(F.array(hit["_corrupt_record"])).alias("_corrupt_record"))
+    return bad.filter(F.col("_corrupt_record").isNotNull())
+
+
 def _present(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 
@@ -143,7 +153,8 @@ def missing_combinations(facts: DataFrame, entity: str, dims: dict[str, Sequence
         idx = idx + pos[n] * stride
     words = [F.expr(f"bit_or(CASE WHEN _idx DIV 64 = {k} THEN shiftleft(1L, CAST(_idx % 64 AS INT)) END)")
              .alias(f"_w{k}") for k in range(n_words)]
-    have = (facts.filter(in_grid).select(F.col(entity), idx.alias("_idx"))
+    # a fact outside the grid (or with a null dimension) sets no bit, but keeps its entity
+    have = (facts.select(F.col(entity), F.when(in_grid, idx).alias("_idx"))
             .groupBy(entity).agg(*words))
     if entities is not None:
         have = entities.select(entity).distinct().join(have, entity, "left")

@@ -4,7 +4,7 @@ computes the same result independently of Spark.
 The bindings are restated here as SQL; where Spark parses text it rendered
 (protocols, XML), the oracle computes the expected fields directly from the
 source columns, so a parsing error cannot hide in both engines at once.
-Money is summed as DECIMAL(18,2) and reported as DOUBLE on both sides.
+Money is summed as DECIMAL(38,10) and reported as DOUBLE on both sides.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..schemas import (
 )
 from .catalog import EVENT_DAYS, EVENT_TYPES, GRID_YEARS, MANIFEST_SUFFIX, SURVEY_YEAR_OFFSET
 
-M = "DECIMAL(18,2)"
+M = "DECIMAL(38,10)"
 IMPACT_IN = ", ".join(f"'{a}'" for a in CITIZEN_IMPACT_ACCOUNTS)
 
 

@@ -15,7 +15,8 @@ Plan shape, chosen for a fact table of many billions of rows:
   scan and one exchange instead of three.
 * Window functions without a partition (LAG over years) run only on the
   per-year aggregate (tens of rows).
-* Money is summed exactly (``DECIMAL(18,2)`` per row, exact sum) and reported
+* Money is summed exactly (``DECIMAL(38,10)`` per row, exact sum: parts of a
+  cent count, and amounts up to 1e27) and reported
   as DOUBLE, so results do not depend on the order of addition.
 """
 
@@ -28,7 +29,7 @@ from ..functions.scoring import float_score, impact_category, score
 from ..operators.mapping import quote
 from ..schemas import CITIZEN_IMPACT, SCORE_COLUMNS, TREND_TYPES
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,10)"
 
 
 def money(c: str | Column) -> Column:
@@ -113,8 +114,15 @@ def spending_vs_decisions(change: DataFrame, decisions: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ V6/V7
 
 def _department_dim(institutions: DataFrame) -> DataFrame:
-    return institutions.select(F.col("key").alias("_inst_key"),
-                               F.col(quote("departement.bezeichnung")).alias("department"))
+    # one row a key: a repeated key must not multiply the money
+    return institutions.groupBy(F.col("key").alias("_inst_key")).agg(
+        F.min(F.col(quote("departement.bezeichnung"))).alias("department"))
+
+
+def repeated_institutions(institutions: DataFrame) -> DataFrame:
+    """``(key, n)`` of institution keys that stand in more than one row; the
+    views take the department that sorts first."""
+    return institutions.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def _by_institution(enriched: DataFrame) -> DataFrame:

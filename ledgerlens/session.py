@@ -47,14 +47,12 @@ def build_session(master: str | None = None, app: str = "ledgerlens",
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the SQL options the library needs on an existing session."""
+    """Set the SQL options of :data:`DEFAULT_CONF` that the session or the
+    cluster has not set; what is set stays."""
+    there = spark.conf.getAll
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.ui"):
-            continue
-        try:
+        if k not in there and not k.startswith("spark.ui"):
             spark.conf.set(k, v)
-        except Exception:  # static or locked option: keep the cluster's value
-            pass
 
 
 def checkpoint_root(spark: SparkSession) -> str:

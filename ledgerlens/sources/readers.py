@@ -66,6 +66,22 @@ def read_envelope(spark: SparkSession, path: str | list[str], record: StructType
     return x.select(*out)
 
 
+def envelope_rejects(spark: SparkSession, path: str | list[str], record: StructType, *, field: str = "value",
+                     recursive: bool = True, glob: str | None = None) -> DataFrame:
+    """``(path, raw)`` of the envelope files that :func:`read_envelope` has no
+    rows of because they do not parse (cut off, not JSON)."""
+    schema = StructType([StructField(field, ArrayType(record)), StructField("_corrupt_record", StringType())])
+    r = spark.read.option("wholetext", True)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", True)
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    df = r.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("raw"),
+                             parsed["_corrupt_record"].alias("corrupt"))
+    return df.filter(F.col("corrupt").isNotNull()).select("path", "raw")
+
+
 def read_partitioned_json(spark: SparkSession, path: str, record: StructType) -> DataFrame:
     """Envelope files under ``institution=/jahr=/betragstyp=`` directories.
 
@@ -95,12 +111,13 @@ def read_partitioned_parquet(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
-def read_survey_csv(spark: SparkSession, path: str | list[str], *, glob: str = "*.csv",
+def read_survey_csv(spark: SparkSession, path: str | list[str], *, glob: str,
                     columns: list[str] | None = None) -> DataFrame:
     """Survey CSV: header, ``"`` quotes, ``,`` separator, quoted newlines.
 
-    Only files matching ``glob`` are read (code lists and PDFs that land in
-    the same folder are skipped).  Without ``columns`` the header decides the
+    Only files whose names match ``glob`` are read. There is no default: the
+    code list lands as a CSV of its own in the same folder, and must not be
+    read as respondents.  Without ``columns`` the header decides the
     columns; every value is text.
     """
     r = (spark.read.option("header", True).option("multiLine", True)
@@ -129,14 +146,16 @@ def list_documents(spark: SparkSession, path: str, *, suffix: str = ".pdf") -> D
     whose name ends with ``suffix`` in any case.  File contents are not read."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
           .select("path", "length"))
-    return manifest(df, "path", suffix).select("path", "dateiname", "length")
+    return manifest(df, "path", suffix, url=False).select("path", "dateiname", "length")
 
 
-def manifest(df: DataFrame, path_col: str, suffix: str) -> DataFrame:
-    """Rows whose path (query and fragment ignored) ends with ``suffix``, any
-    case, with the last path segment as ``dateiname``."""
-    p = F.regexp_replace(F.col(path_col), r"[?#].*$", "")
-    return df.filter(F.lower(p).endswith(suffix.lower())).withColumn("dateiname", basename(F.col(path_col)))
+def manifest(df: DataFrame, path_col: str, suffix: str, *, url: bool = True) -> DataFrame:
+    """Rows whose path ends with ``suffix``, any case, with the last path segment
+    as ``dateiname``. Of a URL the query and fragment are ignored; in a file key
+    ``?`` and ``#`` are characters like others."""
+    p = F.regexp_replace(F.col(path_col), r"[?#].*$", "") if url else F.col(path_col)
+    name = basename(F.col(path_col)) if url else F.regexp_extract(p, r"([^/]*)$", 1)
+    return df.filter(F.lower(p).endswith(suffix.lower())).withColumn("dateiname", name)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -4,23 +4,24 @@ A Structured Streaming file source remembers the files it has processed in
 its checkpoint, so each run (``trigger(availableNow=True)``: everything new,
 then stop) reads only new files.  Each micro-batch is cleaned by the same
 function as the batch job and written with a dynamic partition overwrite
-keyed by the batch id: if an executor or the driver dies mid-batch, the
-restarted query replays that batch id and replaces its partition instead of
-appending a second copy.  Nothing is cached on a machine-local disk; the
+keyed by the checkpoint's own id and the batch id: if an executor or the driver
+dies mid-batch, the restarted query replays that batch id and replaces its
+partition instead of appending a second copy, and a new checkpoint over a kept
+sink (which counts its batches from 0 again) replaces nothing.  Nothing is cached on a machine-local disk; the
 checkpoint lives below the shared ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
-
-from ..operators.mapping import spread
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 BATCH_COLUMN = "batch_id"
+RUN_COLUMN = "load_id"
 
 
 def stream_files(spark: SparkSession, source_dir: str, schema: StructType, *, fmt: str = "parquet",
@@ -40,38 +41,48 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
                     clean_fn: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, *,
                     fmt: str = "parquet", glob: str | None = None, sink_format: str = "parquet",
                     dedup_keys: Sequence[str] | None = None,
+                    dedup_within: tuple[str, str] | None = None,
                     max_files_per_trigger: int | None = None) -> int:
     """Clean all new files of ``source_dir`` into ``sink``; returns the number of
-    input rows this run processed (0 when nothing new arrived).
+    rows this run handed to ``clean_fn``, over all its batches (0 when nothing
+    new arrived).
 
     ``dedup_keys`` additionally drops rows whose keys were already seen in
-    earlier batches (kept in the streaming state store; bounded only by the
-    number of distinct keys).
+    earlier batches. Their keys stay in the streaming state store: all of them,
+    or with ``dedup_within`` = (time column, delay) those of the last ``delay``
+    of event time, which bounds the state.
     """
     stream = stream_files(spark, source_dir, schema, fmt=fmt, glob=glob,
                           max_files_per_trigger=max_files_per_trigger)
-    if dedup_keys:
+    if dedup_keys and dedup_within:
+        stream = stream.withWatermark(*dedup_within).dropDuplicatesWithinWatermark(list(dedup_keys))
+    elif dedup_keys:
         stream = stream.dropDuplicates(list(dedup_keys))
+    rows: dict[int, int] = {}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # The batch is an ordinary DataFrame: the batch job's clean function
-        # applies unchanged, spread over the cluster if the batch came in few
-        # partitions.
-        (clean_fn(spread(batch)).withColumn(BATCH_COLUMN, F.lit(batch_id))
+        # applies unchanged.
+        seen = Observation()
+        load = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        (clean_fn(batch.observe(seen, F.count(F.lit(1)).alias("n")))
+             .withColumn(RUN_COLUMN, F.lit(load)).withColumn(BATCH_COLUMN, F.lit(batch_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BATCH_COLUMN).format(sink_format).save(sink))
+             .partitionBy(RUN_COLUMN, BATCH_COLUMN).format(sink_format).save(sink))
+        rows[batch_id] = seen.get["n"]
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+    return sum(rows.values())
 
 
 def read_sink(spark: SparkSession, sink: str, schema: StructType | None = None,
               sink_format: str = "parquet") -> DataFrame:
-    """The accumulated sink without the bookkeeping column."""
+    """The accumulated sink without the bookkeeping columns."""
     r = spark.read.format(sink_format)
     if schema is not None:
-        r = r.schema(StructType(list(schema.fields) + [StructField(BATCH_COLUMN, LongType())]))
-    return r.load(sink).drop(BATCH_COLUMN)
+        r = r.schema(StructType(list(schema.fields) + [StructField(RUN_COLUMN, StringType()),
+                                                       StructField(BATCH_COLUMN, LongType())]))
+    return r.load(sink).drop(RUN_COLUMN, BATCH_COLUMN)

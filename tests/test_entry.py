@@ -1,6 +1,7 @@
 """Driver contract: entry() on sf0.001 returns rows with a stable schema."""
 
 import __spark_entry__ as E
+from ledgerlens.plans.catalog import QUERIES
 
 
 def test_entry_rows_and_stable_schema(spark):
@@ -13,5 +14,5 @@ def test_entry_rows_and_stable_schema(spark):
 
 def test_every_query_callable_and_named(spark):
     qs = E.queries()
-    assert len(qs) == 40 and all(callable(f) for f in qs.values())
+    assert len(QUERIES) == 40 and set(QUERIES) <= set(qs) and all(callable(f) for f in qs.values())
     assert all(isinstance(v, str) and v.strip() for v in E.oracle_sql().values())

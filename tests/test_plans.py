@@ -4,6 +4,7 @@ scans, pushed filters, one exchange for the flagship."""
 import pytest
 
 import __spark_entry__ as E
+from ledgerlens.plans.catalog import QUERIES
 
 from .conftest import SF_SMALL
 
@@ -15,7 +16,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_EXECUTING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP_EXECUTING))
 def test_no_python_udf(spark, name):
     p = plan(E.queries()[name](spark, SF_SMALL))
     assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p
@@ -45,14 +46,6 @@ def test_department_views_aggregate_before_join(spark):
     assert "Aggregate" in p[join_at:]  # the fact side is aggregated below the join
 
 
-def test_spread_is_a_no_op_on_partitioned_input(spark):
-    from ledgerlens.operators.mapping import spread
-    many = spark.range(0, 1000, numPartitions=16)
-    assert "Exchange" not in plan(spread(many))
-    one = spark.range(0, 1000, numPartitions=1)
-    assert "RoundRobinPartitioning" in plan(spread(one))
-
-
 def test_coverage_gaps_shuffle_once_without_join(spark):
     p = plan(E.queries()["coverage_gaps"](spark, SF_SMALL))
     assert p.count("Exchange ") == 1 and "Join" not in p

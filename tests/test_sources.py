@@ -67,7 +67,8 @@ def test_vote_records_multiline_array_case_insensitive(spark, tmp_path):
 def test_survey_csv_quoted_newlines_and_glob(spark, tmp_path):
     write(str(tmp_path / "s" / "survey.csv"), 'Jahr,methode,A2001aa01\n2019,"online\nweb","Note 2"\n2021,,x\n')
     write(str(tmp_path / "s" / "codes.txt"), "not,a,survey\n")
-    df = readers.read_survey_csv(spark, str(tmp_path / "s"))
+    write(str(tmp_path / "s" / "bevoelkerung_survey_code.csv"), "Jahr,methode,A2001aa01\n1,2,3\n")
+    df = readers.read_survey_csv(spark, str(tmp_path / "s"), glob="survey.csv")
     rows = sorted((tuple(r) for r in df.collect()), key=str)
     assert rows == [("2019", "online\nweb", "Note 2"), ("2021", None, "x")]
 
@@ -86,10 +87,10 @@ def test_business_xml_file(spark, tmp_path):
 
 
 def test_document_listing_suffix_any_case(spark, tmp_path):
-    for name in ["a.pdf", "b.PDF", "c.txt", "sub/d.Pdf"]:
+    for name in ["a.pdf", "b.PDF", "c.txt", "sub/d.Pdf", "e#1.pdf"]:
         write(str(tmp_path / "pdf" / name), "x")
     got = sorted(r.dateiname for r in readers.list_documents(spark, str(tmp_path / "pdf")).collect())
-    assert got == ["a.pdf", "b.PDF", "d.Pdf"]
+    assert got == ["a.pdf", "b.PDF", "d.Pdf", "e#1.pdf"]
 
 
 def test_writers_roundtrip_and_dynamic_overwrite(spark, tmp_path):
