@@ -26,6 +26,7 @@ from ..operators.worklist import (
     missing_combinations,
     number_documents,
     pending,
+    rejected_hits,
     work_grid,
 )
 from ..schemas import VOTE_ITEM
@@ -37,9 +38,9 @@ from . import views as V
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Binding parameters (fixed values of the test fixtures).
-GRID_YEARS = (1995, 2001)
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-EVENT_DAYS = ("2024-01-01", "2024-01-30")
+# The narrower grid of coverage_gaps_window: the feature is the window itself.
+WINDOW_DAYS = ("2024-01-10", "2024-01-12")
+WINDOW_TYPES = ("purchase", "signup")
 DAILY_NOW = _dt.datetime(2024, 1, 11, 6, 0, 0)
 SURVEY_YEAR_OFFSET = -23
 MANIFEST_SUFFIX = ".html"
@@ -207,19 +208,48 @@ def q_doc_manifest(spark, sf):
 
 
 def q_work_grid(spark, sf):
-    s = _t(spark, sf).supplier.select(F.col("s_suppkey").cast("string").alias("institution"))
-    return work_grid(s, list(range(GRID_YEARS[0], GRID_YEARS[1] + 1)))
+    """Years: those of the orders, first to last."""
+    t = _t(spark, sf)
+    s = t.supplier.select(F.col("s_suppkey").cast("string").alias("institution"))
+    y = t.orders.agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi")).first()
+    return work_grid(s, [] if y.lo is None else list(range(y.lo, y.hi + 1)))
 
 
-def q_coverage_gaps(spark, sf):
-    e = _t(spark, sf).events
-    lo, hi = (_dt.date.fromisoformat(d) for d in EVENT_DAYS)
+def _gaps(facts, lo, hi, types):
     days = [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
-    facts = e.select("user_id", "event_type", F.to_date("ts").alias("day"))
-    return missing_combinations(facts, "user_id", {"day": days, "event_type": list(EVENT_TYPES)}) \
+    return missing_combinations(facts, "user_id", {"day": days, "event_type": list(types)}) \
         .select("user_id", "event_type", "day")
 
 
+def _event_facts(spark, sf):
+    return _t(spark, sf).events.select("user_id", "event_type", F.to_date("ts").alias("day"))
+
+
+def q_coverage_gaps(spark, sf):
+    """The grid: all days from the first event to the last, and all event types
+    (the parameter lists of the work, one small aggregate)."""
+    facts = _event_facts(spark, sf)
+    b = facts.agg(F.min("day").alias("lo"), F.max("day").alias("hi"),
+                  F.array_sort(F.collect_set("event_type")).alias("types")).first()
+    if b.lo is None or not b.types:
+        return facts.select("user_id", "event_type", "day").filter(F.lit(False))
+    return _gaps(facts, b.lo, b.hi, b.types)
+
+
+def q_coverage_gaps_window(spark, sf):
+    """A grid narrower than the data: users without an event in it have all its combinations open."""
+    lo, hi = (_dt.date.fromisoformat(d) for d in WINDOW_DAYS)
+    return _gaps(_event_facts(spark, sf), lo, hi, WINDOW_TYPES)
+
+
+def q_hits_rejects(spark, sf):
+    """Every 50th hit is cut off before its end; all of those are reported, with their raw text's length."""
+    h = B.hits_xml(_t(spark, sf))
+    whole = F.col("xml")
+    cut = h.withColumn("xml", F.when(F.col("o_orderkey") % 50 == 0, whole.substr(F.lit(1), F.length(whole) - 20)).otherwise(whole))
+    return rejected_hits(cut).select("o_orderkey", (F.length("_corrupt_record") > 0).alias("has_raw"))
+
+
 def q_pending_work(spark, sf):
     t = _t(spark, sf)
     work = t.orders.select(F.col("o_orderkey"), "o_custkey", "o_orderdate")
@@ -316,6 +346,8 @@ QUERIES: dict[str, Query] = {
     "doc_manifest": q_doc_manifest,
     "work_grid": q_work_grid,
     "coverage_gaps": q_coverage_gaps,
+    "coverage_gaps_window": q_coverage_gaps_window,
+    "hits_rejects": q_hits_rejects,
     "pending_work": q_pending_work,
     "daily_window": q_daily_window,
     "sink_roundtrip_parquet": q_roundtrip_parquet,

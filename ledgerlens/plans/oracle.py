@@ -17,7 +17,7 @@ from ..schemas import (
     survey_answer_columns,
     survey_columns,
 )
-from .catalog import EVENT_DAYS, EVENT_TYPES, GRID_YEARS, MANIFEST_SUFFIX, SURVEY_YEAR_OFFSET
+from .catalog import MANIFEST_SUFFIX, SURVEY_YEAR_OFFSET, WINDOW_DAYS, WINDOW_TYPES
 
 M = "DECIMAL(38,10)"
 IMPACT_IN = ", ".join(f"'{a}'" for a in CITIZEN_IMPACT_ACCOUNTS)
@@ -336,16 +336,22 @@ FROM finals GROUP BY grnr, titel, year_source"""
 FROM pages WHERE lower(regexp_replace(url, '[?#].*$', '')) LIKE '%{MANIFEST_SUFFIX.lower()}'"""
     types = ", ".join(f"('{t}')" for t in ("GEMEINDERAT_BESCHLUSS", "RECHNUNG", "STADTRAT_ANTRAG"))
     s["work_grid"] = f"""SELECT CAST(s_suppkey AS VARCHAR) AS institution, CAST(y.jahr AS INTEGER) AS jahr, t.betragstyp
-FROM supplier, (SELECT unnest(range({GRID_YEARS[0]}, {GRID_YEARS[1] + 1})) AS jahr) y,
+FROM supplier, (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS jahr FROM orders) y,
      (VALUES {types}) t(betragstyp)"""
-    ev = ", ".join(f"('{t}')" for t in EVENT_TYPES)
-    s["coverage_gaps"] = f"""WITH users AS (SELECT DISTINCT user_id FROM events),
-days AS (SELECT CAST(unnest(generate_series(DATE '{EVENT_DAYS[0]}', DATE '{EVENT_DAYS[1]}', INTERVAL 1 DAY)) AS DATE) AS day),
-types AS (SELECT * FROM (VALUES {ev}) t(event_type)),
+    ev = ", ".join(f"('{t}')" for t in WINDOW_TYPES)
+    grids = {
+        "coverage_gaps": """days AS (SELECT CAST(unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM events),
+types AS (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL),""",
+        "coverage_gaps_window": f"""days AS (SELECT CAST(unnest(generate_series(DATE '{WINDOW_DAYS[0]}', DATE '{WINDOW_DAYS[1]}', INTERVAL 1 DAY)) AS DATE) AS day),
+types AS (SELECT * FROM (VALUES {ev}) t(event_type)),"""}
+    for name, lists in grids.items():
+        s[name] = f"""WITH users AS (SELECT DISTINCT user_id FROM events),
+{lists}
 grid AS (SELECT user_id, day, event_type FROM users, days, types)
 SELECT g.user_id, g.event_type, g.day FROM grid g
 WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = g.user_id AND e.event_type = g.event_type
                   AND CAST(e.ts AS DATE) = g.day)"""
+    s["hits_rejects"] = "SELECT o_orderkey, true AS has_raw FROM orders WHERE o_orderkey % 50 = 0"
     s["pending_work"] = """SELECT o_orderkey, o_custkey, o_orderdate FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)"""
     s["daily_window"] = """SELECT event_id, ts, user_id, event_type FROM events
