@@ -202,7 +202,8 @@ def likely_links(classes: DataFrame, threshold: float, recall: float) -> DataFra
     for level in range(LEVELS):
         child = written(rows.select("id", F.explode(_children(F.col("node"), level, width)).alias("node")),
                         f"jaccard-level{level}")
-        size = child.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
+        # written, so that a node with very many rows can be split in the join
+        size = written(child.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), f"jaccard-size{level}")
         child = child.join(size, "node")
         large = F.lit(level < LEVELS - 1) & (F.col("size") > SMALL)
         leaf = child.filter(~large)
