@@ -188,7 +188,7 @@ def _tasks(df: DataFrame) -> int:
 def read_archives(index: DataFrame, payloads: bool = False) -> DataFrame:
     """All records of the index's bundles, frame by frame."""
     # a task reads whole bundles; the names alone are too small to tell a planner how many tasks that takes
-    bundles = index.select("bundle").distinct().repartition(_tasks(index), "bundle")
+    bundles = index.select("bundle").distinct().repartitionByRange(_tasks(index), "bundle")
 
     def run(batches):
         import zstandard
