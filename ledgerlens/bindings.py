@@ -25,6 +25,8 @@ TPC-H dimensions (supplier, nation).  The same rules are restated in SQL in
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,9 +173,9 @@ def protocol_text(t: Tables) -> DataFrame:
                     F.lit(1).alias("page_no"), text.alias("text"))
 
 
-def votes(t: Tables) -> DataFrame:
-    """Clean vote table: protocol text -> extraction -> clean job."""
-    return clean_votes(extract_protocol(protocol_text(t)))
+def votes(t: Tables, names: Sequence[str] | None = None) -> DataFrame:
+    """Clean vote table: protocol text -> extraction (of ``names``, default all) -> clean job."""
+    return clean_votes(extract_protocol(protocol_text(t), names=names))
 
 
 # ---------------------------------------------------------------- business
@@ -198,6 +200,26 @@ def raw_businesses(t: Tables) -> DataFrame:
                     files.alias("pdf_files"), kinds.alias("geschaeftsart"))
 
 
+def business_pages(t: Tables) -> DataFrame:
+    """The rows of ``raw_businesses`` as landed search pages, one hit a page:
+    ``(dateiname, page)``.  One business type is written as a text, several as a
+    list; every other page writes its only task as an object, the others as a list."""
+    b = raw_businesses(t)
+    quoted = F.transform("geschaeftsart", lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+    kinds = F.when(F.size("geschaeftsart") == 1, quoted[0]).otherwise(
+        F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]")))
+    f = F.col("pdf_files")[0]
+    task = F.concat(F.lit('{"Dokumente": {"Dokument": [{"Titel": "Antrag"}, {"Titel": "'), f["titel"],
+                    F.lit('", "File": {"@ID": "'), f["file_id"], F.lit('"}}]}}'))
+    task = F.when(F.crc32(f["file_id"].cast("binary")) % 2 == 0, task).otherwise(F.concat(F.lit("["), task, F.lit("]")))
+    page = F.concat(
+        F.lit('{"SearchDetailResponse": {"@numHits": "1", "Hit": [{"Geschaeft": {'),
+        F.coalesce(F.concat(F.lit('"GRNr": "'), "grnr", F.lit('", ')), F.lit("")),
+        F.coalesce(F.concat(F.lit('"Geschaeftsart": '), kinds, F.lit(", ")), F.lit("")),
+        F.lit('"Titel": "'), "titel", F.lit('", "Ablaufschritte": {"Aufgabe": '), task, F.lit("}}}]}}"))
+    return b.select("dateiname", page.alias("page"))
+
+
 # ---------------------------------------------------------------- XML hits
 
 def _xml_doc(k: Column, a: Column, d: Column) -> Column:

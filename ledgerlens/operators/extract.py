@@ -9,6 +9,8 @@ worker, and every text is processed whole.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ P_COUNTERS = (
     ("Total_Stimmen", r"(?U)Total Stimmen:\s*(\d+)"),
 )
 P_TIEBREAK = r"(?U)(?d)Stichentscheid:\s*(.*)"
+PROTOCOL_FIELDS = ("Geschäftstitel", "Geschäftsnummer", "Stimm_Datum", "Stimm_Zeit",
+                   *(name for name, _ in P_COUNTERS), "Stichentscheid")
 
 # Questionnaire question: "F12a. text" or "S3. text" at the start of a line.
 QUESTION_PATTERN = r"(?U)(?d)^(S\d+[a-z]?|F\d+[a-z]?)\.\s+(.*)"
@@ -57,22 +61,25 @@ def protocol_fields(text: Column) -> list[Column]:
 
 def extract_protocol(df: DataFrame, *, text: str = "text", doc: str = "doc",
                      page: str | None = "page_no", context: str | None = None,
-                     first_page: int = 1) -> DataFrame:
+                     first_page: int = 1, names: Sequence[str] | None = None) -> DataFrame:
     """Vote records from protocol text, one per document (its first page).
 
     ``context`` names a column with the business number known from the work
-    item; it fills ``Geschäftsnummer`` where the text has none.
+    item; it fills ``Geschäftsnummer`` where the text has none.  ``names`` lists
+    the fields to extract (default all); the generator below hides unused ones
+    from column pruning, so a caller that needs one field should say so.
     """
     src = df if page is None else df.filter(F.col(page) == first_page)
     t = F.col(text)
-    fields = protocol_fields(t)
+    fields = dict(zip(PROTOCOL_FIELDS, protocol_fields(t)))
     if context is not None:
-        fields[1] = F.coalesce(field(t, P_NUMBER, group_never_empty=True),
-                               F.col(context)).alias("Geschäftsnummer")
+        fields["Geschäftsnummer"] = F.coalesce(field(t, P_NUMBER, group_never_empty=True),
+                                               F.col(context)).alias("Geschäftsnummer")
+    wanted = [fields[n] for n in (PROTOCOL_FIELDS if names is None else names)]
     # Emitted through a one-row generator: a later filter on an extracted
     # field (e.g. the non-empty business number) cannot be pushed below it,
-    # so the regular expressions run once per document, after any spread.
-    return src.select(F.inline(F.array(F.struct(F.col(doc).alias("Dateiname"), *fields))))
+    # so the regular expressions run once per document.
+    return src.select(F.inline(F.array(F.struct(F.col(doc).alias("Dateiname"), *wanted))))
 
 
 def with_status(votes: DataFrame) -> DataFrame:
@@ -106,23 +113,21 @@ def extract_questions(df: DataFrame, *, text: str = "text", year: str = "year",
     index into the same row's array, so no window and no shuffle is needed.
     """
     lines = F.transform(F.split(F.col(text), "\n", -1), lambda l: ustrip(l))
-    src = df.select(*[F.col(c) for c in carry], F.col(year).alias("_year"),
-                    F.col(page).alias("_page"), lines.alias("_lines"))
+    keep = [F.col(c) for c in carry]
+    src = df.select(*keep, F.col(year).alias("year"), F.col(page).alias("page"), lines.alias("_lines"))
     L = F.col("_lines")
+    # One pass of the pattern over the lines; the groups are cut out, and the
+    # next line looked at, only where it matched.
+    at = F.filter(F.sequence(F.lit(1), F.size(L)), lambda i: F.element_at(L, i).rlike(pattern))
 
-    def one(line, i):
-        nxt = F.try_element_at(L, i + 2)  # 1-based: the line after line i
-        cont = (nxt.isNotNull() & (nxt != "") & ~nxt.rlike(pattern) & ~nxt.startswith(stop_prefix))
+    def question(i):
+        line, nxt = F.element_at(L, i), F.try_element_at(L, i + 1)
+        goes_on = nxt.isNotNull() & (nxt != "") & ~nxt.startswith(stop_prefix) & ~nxt.rlike(pattern)
         body = F.regexp_extract(line, pattern, 2)
-        return F.struct(
-            F.when(line.rlike(pattern), F.regexp_extract(line, pattern, 1)).alias("id"),
-            F.when(cont, F.concat(body, F.lit(" "), nxt)).otherwise(body).alias("text"),
-        )
-
-    qs = F.filter(F.transform(L, one), lambda q: q["id"].isNotNull())
-    return (src.select(*[F.col(c) for c in carry], F.col("_year").alias("year"),
-                       F.col("_page").alias("page"), F.explode(qs).alias("q"))
-               .select(*carry, "year", "page", F.col("q.id").alias("id"), F.col("q.text").alias("text")))
+        return F.struct(F.regexp_extract(line, pattern, 1).alias("id"),
+                        F.when(goes_on, F.concat(body, F.lit(" "), nxt)).otherwise(body).alias("text"))
+
+    return src.select(*carry, "year", "page", F.inline(F.transform(at, question)))
 
 
 def split_pages(df: DataFrame, *, text: str = "text", page_break: str = "\f") -> DataFrame:

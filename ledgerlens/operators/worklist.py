@@ -95,6 +95,64 @@ def items_to_json(items: DataFrame) -> DataFrame:
     return items.select(F.to_json(F.struct("grnr", "titel", "pdf_files", "year_source")).alias("body"))
 
 
+# A landed search page: the root element's name, then the hits. Elements that
+# the page writes as one object or as a list, by their number, are kept as
+# JSON text and made lists by _listed.
+_PAGE = "map<string, struct<Hit: string>>"
+_HIT = """array<struct<Geschaeft: struct<GRNr: string, Titel: string, Geschaeftsart: string,
+  FederfuehrendesDepartement: struct<Departement: string>, MitbeteiligteDepartemente: struct<Departement: string>,
+  Ablaufschritte: struct<Aufgabe: string>>>>"""
+_TASKS = "array<struct<Dokumente: struct<Dokument: string>>>"
+_DOCUMENTS = "array<struct<Titel: string, File: struct<`@ID`: string>>>"
+
+
+def _listed(c: Column, schema: str) -> Column:
+    """JSON text of a list or of one object -> the list; absent -> empty."""
+    text = F.when(F.startswith(F.ltrim(c), F.lit("[")), c).otherwise(F.concat(F.lit("["), c, F.lit("]")))
+    return F.coalesce(F.from_json(text, schema), F.array().cast(schema))
+
+
+def _names(c: Column) -> Column:
+    """A text, or JSON text of a list of them -> list of texts (objects as JSON); absent -> null."""
+    return F.coalesce(F.when(F.startswith(F.ltrim(c), F.lit("[")), F.from_json(c, "array<string>")),
+                      F.when(c.isNotNull(), F.array(c)))
+
+
+def business_items(pages: DataFrame, *, page: str = "page", dateiname: str = "dateiname",
+                   phrase: str = FINAL_VOTE_PHRASE) -> DataFrame:
+    """Landed search pages (JSON text) -> one row per business, for ``clean_businesses``:
+    ``(dateiname, grnr, titel, pdf_files, geschaeftsart, federfuehrend, mitbeteiligt)``.
+
+    ``pdf_files`` holds the final-vote documents that have a file.  Departments
+    are lists, empty where the page has none; ``geschaeftsart`` is a list, null
+    where absent.  A page without hits has no rows, nor has one that does not
+    parse: :func:`rejected_pages` gives those.
+    """
+    roots = F.map_values(F.from_json(F.col(page), _PAGE))
+    hits = F.flatten(F.transform(roots, lambda r: _listed(r["Hit"], _HIT)))
+    g = F.col("_hit.Geschaeft")
+    documents = F.flatten(F.transform(_listed(g["Ablaufschritte"]["Aufgabe"], _TASKS),
+                                      lambda a: _listed(a["Dokumente"]["Dokument"], _DOCUMENTS)))
+    finals = F.transform(
+        F.filter(documents, lambda d: _present(d["Titel"]) & contains_ci(d["Titel"], phrase)
+                 & _present(d["File"]["@ID"])),
+        lambda d: F.struct(d["Titel"].alias("titel"), d["File"]["@ID"].alias("file_id")))
+    none = F.array().cast("array<string>")
+    item = F.struct(
+        F.col(dateiname).alias("dateiname"), g["GRNr"].alias("grnr"), F.coalesce(g["Titel"], F.lit(NO_TITLE)).alias("titel"),
+        finals.alias("pdf_files"), _names(g["Geschaeftsart"]).alias("geschaeftsart"),
+        F.coalesce(_names(g["FederfuehrendesDepartement"]["Departement"]), none).alias("federfuehrend"),
+        F.coalesce(_names(g["MitbeteiligteDepartemente"]["Departement"]), none).alias("mitbeteiligt"))
+    # Through a generator, as in final_vote_items: a later filter is not pushed below the parse.
+    return pages.select(dateiname, F.explode(hits).alias("_hit")).select(F.inline(F.array(item)))
+
+
+def rejected_pages(pages: DataFrame, page: str = "page") -> DataFrame:
+    """The pages that are not JSON objects, or empty ones (cut off, no text, no JSON)."""
+    schema = "map<string, string>"
+    return pages.filter(F.coalesce(F.size(F.from_json(F.col(page), schema, {"mode": "PERMISSIVE"})), F.lit(-1)) < 1)
+
+
 def work_grid(institutions: DataFrame, years: Sequence[int] | Column,
               amount_types: Sequence[str] = AMOUNT_TYPES, key: str = "institution") -> DataFrame:
     """Every (institution, year, amount type) combination to fetch.

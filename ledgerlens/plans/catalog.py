@@ -19,6 +19,7 @@ from ..functions.dates import daily_window, in_window, ts_literal
 from ..operators import cleaning, quality
 from ..operators.extract import extract_protocol, extract_questions, questions_per_year, run_counters
 from ..operators.worklist import (
+    business_items,
     coverage_gaps,
     final_vote_documents,
     final_vote_items,
@@ -44,6 +45,9 @@ WINDOW_TYPES = ("purchase", "signup")
 DAILY_NOW = _dt.datetime(2024, 1, 11, 6, 0, 0)
 SURVEY_YEAR_OFFSET = -23
 MANIFEST_SUFFIX = ".html"
+# What the decisions view and the run counters need of a protocol.
+DECISION_FIELDS = ("Geschäftsnummer",)
+STATUS_FIELDS = ("Geschäftsnummer", "Stimm_Datum", "Stimm_Zeit", "JA")
 
 
 def _t(spark: SparkSession, sf_dir: str) -> B.Tables:
@@ -62,12 +66,12 @@ def q_rq2_change(spark, sf):
 
 
 def q_rq2_decisions(spark, sf):
-    return V.decisions_per_year(B.votes(_t(spark, sf)))
+    return V.decisions_per_year(B.votes(_t(spark, sf), DECISION_FIELDS))
 
 
 def q_rq2_vs(spark, sf):
     t = _t(spark, sf)
-    return V.spending_vs_decisions(V.spending_change(B.spending(t)), V.decisions_per_year(B.votes(t)))
+    return V.spending_vs_decisions(V.spending_change(B.spending(t)), V.decisions_per_year(B.votes(t, DECISION_FIELDS)))
 
 
 def q_rq3_impact(spark, sf):
@@ -109,6 +113,10 @@ def q_clean_votes(spark, sf):
     return B.votes(_t(spark, sf))
 
 
+def q_businesses_from_pages(spark, sf):
+    return cleaning.clean_businesses(business_items(B.business_pages(_t(spark, sf))))
+
+
 def q_clean_businesses(spark, sf):
     return cleaning.clean_businesses(B.raw_businesses(_t(spark, sf)))
 
@@ -169,7 +177,7 @@ def q_questions_per_year(spark, sf):
 
 
 def q_run_counters(spark, sf):
-    return run_counters(extract_protocol(B.protocol_text(_t(spark, sf))))
+    return run_counters(extract_protocol(B.protocol_text(_t(spark, sf)), names=STATUS_FIELDS))
 
 
 # ------------------------------------------------------------------ work lists
@@ -330,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "spending_enriched": q_enriched,
     "clean_votes": q_clean_votes,
     "clean_businesses": q_clean_businesses,
+    "businesses_from_pages": q_businesses_from_pages,
     "clean_institutions": q_clean_institutions,
     "clean_accounts": q_clean_accounts,
     "clean_spending": q_clean_spending,

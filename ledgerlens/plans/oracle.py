@@ -303,6 +303,7 @@ SELECT *, {IMPACT} AS impact_category,
 FROM spending"""
     s["clean_votes"] = f"WITH {VOTES} SELECT * FROM votes"
     s["clean_businesses"] = f"WITH {BUSINESSES} SELECT * FROM businesses"
+    s["businesses_from_pages"] = s["clean_businesses"]
     s["clean_institutions"] = f"WITH {INSTITUTIONS} SELECT * FROM institutions"
     s["clean_accounts"] = f"WITH {ACCOUNTS} SELECT * FROM accounts"
     s["clean_spending"] = f"WITH {CLEAN_SPENDING} SELECT * FROM clean_spending"

@@ -54,3 +54,11 @@ def test_coverage_gaps_shuffle_once_without_join(spark):
 def test_x1_scans_the_survey_once(spark):
     p = plan(E.queries()["x1_satisfaction_link"](spark, SF_SMALL)).split("== Initial Plan ==")[-1]
     assert p.count("events.parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["rq2_decisions_per_year", "rq2_spending_vs_decisions"])
+def test_decisions_extract_the_number_alone(spark, name):
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    assert "(?U)Geschäfts#" in p
+    assert not any("regexp_extract" in line and label in line for line in p.splitlines()
+                   for label in ("(?U)Stimm-Datum", "(?U)NEIN", "Stichentscheid:\\s", "(?s)Geschäftstitel"))

@@ -102,3 +102,33 @@ def test_missing_combinations_equals_grid_anti_join(spark):
     cols = ["institution", "jahr", "betragstyp"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
     assert got.count() == 3 + 3 + 4
+
+
+def test_business_pages_of_every_shape(spark):
+    from ledgerlens.operators.cleaning import clean_businesses
+    from ledgerlens.operators.worklist import business_items, rejected_pages
+
+    doc = '{"Titel": "Schlussabstimmung 1", "File": {"@ID": "f1"}}'
+    pages = [
+        # one hit and one document as objects, departments of both kinds, one type as a text
+        ('a', '{"R": {"Hit": {"Geschaeft": {"GRNr": "2020/1", "Titel": "T", "Geschaeftsart": "Motion",'
+              '"FederfuehrendesDepartement": {"Departement": "FD"},'
+              '"MitbeteiligteDepartemente": {"Departement": ["SD", "TED"]},'
+              '"Ablaufschritte": {"Aufgabe": {"Dokumente": {"Dokument": ' + doc + '}}}}}}}'),
+        # lists, branches missing or null, a document without file, an item without number
+        ('b', '{"R": {"Hit": [{"Geschaeft": {"GRNr": "2020/2", "Geschaeftsart": ["A", "B"], "Ablaufschritte": null}},'
+              '{"Geschaeft": {"Titel": "no number", "Ablaufschritte": {"Aufgabe": [{"Dokumente": {"Dokument": ['
+              '{"Titel": "Schlussabstimmung 2"}, ' + doc + ']}}, {}]}}}]}}'),
+        ('none', '{"R": {"@numHits": "0"}}'), ('null', None), ('empty', ''), ('cut', '{"R": {"Hit": [{"Gesch'),
+    ]
+    df = spark.createDataFrame(pages, "dateiname string, page string")
+    got = {(r.dateiname, r.grnr): r for r in business_items(df).collect()}
+    assert set(got) == {("a", "2020/1"), ("b", "2020/2"), ("b", None)}
+    a, b, c = got["a", "2020/1"], got["b", "2020/2"], got["b", None]
+    assert (a.geschaeftsart, a.federfuehrend, a.mitbeteiligt) == (["Motion"], ["FD"], ["SD", "TED"])
+    assert [(f.titel, f.file_id) for f in a.pdf_files] == [("Schlussabstimmung 1", "f1")]
+    assert (b.titel, b.geschaeftsart, b.pdf_files, b.federfuehrend, b.mitbeteiligt) == ("No Title", ["A", "B"], [], [], [])
+    assert (c.geschaeftsart, [f.file_id for f in c.pdf_files]) == (None, ["f1"])
+    assert sorted(r.dateiname for r in rejected_pages(df).collect()) == ["cut", "empty", "null"]
+    assert sorted((r.grnr, r.geschaeftsart, r.year) for r in clean_businesses(business_items(df)).collect()) == [
+        ("2020/1", "Motion", 2020), ("2020/2", "A, B", 2020)]
