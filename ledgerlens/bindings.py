@@ -315,3 +315,20 @@ def questionnaire_pages(t: Tables) -> DataFrame:
     questionnaire year; pages are split at form feeds."""
     d = t.documents.select("doc_id", F.col("lang").alias("year"), "text")
     return split_pages(d)
+
+
+def numbered_questionnaire_pages(t: Tables) -> DataFrame:
+    """The same documents as questionnaires in the source's own form: of each
+    three lines the first is a question ``F<n>a.``, the second its continuation
+    (or, on even lines, a box to tick) and the third a question ``S<n>.``; a form
+    feed ends every tenth line."""
+    def line(x, i):
+        n = (i + 1).cast("string")
+        body = (F.when(i % 3 == 0, F.concat(F.lit("F"), n, F.lit("a. "), x))
+                 .when(i % 3 == 2, F.concat(F.lit("S"), n, F.lit(". "), x))
+                 .when(i % 2 == 1, F.concat(F.lit("☐ "), x)).otherwise(x))
+        return F.concat(F.when(i == 0, F.lit("")).when(i % 10 == 0, F.lit("\f")).otherwise(F.lit("\n")), body)
+
+    lines = F.split(F.replace("text", F.lit("\f"), F.lit(" ")), "\n", -1)
+    d = t.documents.select("doc_id", F.col("lang").alias("year"), F.array_join(F.transform(lines, line), "").alias("text"))
+    return split_pages(d)

@@ -172,6 +172,10 @@ def q_extract_questions(spark, sf):
     return _questions(_t(spark, sf))
 
 
+def q_extract_questions_sf(spark, sf):
+    return extract_questions(B.numbered_questionnaire_pages(_t(spark, sf)), carry=("doc_id",))
+
+
 def q_questions_per_year(spark, sf):
     return questions_per_year(_questions(_t(spark, sf)))
 
@@ -346,6 +350,7 @@ QUERIES: dict[str, Query] = {
     **{f"dq_{name}": _dq(name, fn) for name, fn in _CLEAN_OF.items()},
     "extract_protocols": q_extract_protocols,
     "extract_questions": q_extract_questions,
+    "extract_questions_sf": q_extract_questions_sf,
     "questions_per_year": q_questions_per_year,
     "run_counters": q_run_counters,
     "final_vote_documents": q_final_vote_documents,

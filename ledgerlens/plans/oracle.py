@@ -233,19 +233,34 @@ def _dq_all() -> dict[str, str]:
 
 # ----------------------------------------------------------------- queries
 
-def _questions_sql() -> str:
-    # Pages split on form feed, lines on newline, stripped; a match of
-    # ^([AE][a-z]*) +(.*) is a question, the next line is appended when it is
-    # non-empty, no question itself and does not start with the stop prefix.
-    pat = r"^([AE][a-z]*) +(.*)"
-    return f"""WITH pages AS (
+_DOCUMENT_LINES = """pages AS (
   SELECT doc_id, lang AS year, generate_subscripts(string_split(text, chr(12)), 1) AS page,
          unnest(string_split(text, chr(12))) AS page_text
   FROM documents),
-lines AS (
+raw_lines AS (
   SELECT doc_id, year, page, generate_subscripts(string_split(page_text, chr(10)), 1) AS i,
-         regexp_replace(unnest(string_split(page_text, chr(10))), '^\\s+|\\s+$', '', 'g') AS line
-  FROM pages),
+         unnest(string_split(page_text, chr(10))) AS raw
+  FROM pages)"""
+
+# The lines of the questionnaires in the source's own form, ten a page.
+_NUMBERED_LINES = """plain AS (
+  SELECT doc_id, lang AS year, unnest(string_split(replace(text, chr(12), ' '), chr(10))) AS x,
+         generate_subscripts(string_split(replace(text, chr(12), ' '), chr(10)), 1) AS i
+  FROM documents),
+raw_lines AS (
+  SELECT doc_id, year, (i - 1) // 10 + 1 AS page, i,
+         CASE i % 3 WHEN 1 THEN 'F' || CAST(i AS VARCHAR) || 'a. ' || x
+                    WHEN 0 THEN 'S' || CAST(i AS VARCHAR) || '. ' || x
+                    ELSE CASE WHEN i % 2 = 0 THEN '☐ ' || x ELSE x END END AS raw
+  FROM plain)"""
+
+
+def _questions_sql(lines: str = _DOCUMENT_LINES, pat: str = r"^([AE][a-z]*) +(.*)") -> str:
+    # Pages split on form feed, lines on newline, stripped; a match of the
+    # pattern is a question, the next line is appended when it is
+    # non-empty, no question itself and does not start with the stop prefix.
+    return f"""WITH {lines},
+lines AS (SELECT doc_id, year, page, i, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS line FROM raw_lines),
 la AS (SELECT *, LEAD(line) OVER (PARTITION BY doc_id, page ORDER BY i) AS nxt FROM lines)
 SELECT doc_id, year, CAST(page AS INTEGER) AS page,
        regexp_extract(line, '{pat}', 1) AS id,
@@ -313,6 +328,7 @@ FROM spending"""
 SELECT "Dateiname", "Geschäftstitel", "Geschäftsnummer", "Stimm_Datum", "Stimm_Zeit", "JA", "NEIN",
        "Enthalten", "Nicht_Praesent", "Total_Stimmen", "Stichentscheid" FROM protocols"""
     s["extract_questions"] = _questions_sql()
+    s["extract_questions_sf"] = _questions_sql(_NUMBERED_LINES, r"^(S\d+[a-z]?|F\d+[a-z]?)\.\s+(.*)")
     s["questions_per_year"] = (f"WITH qs AS ({_questions_sql()}) "
                                "SELECT year, COUNT(*) AS n_questions FROM qs GROUP BY 1")
     s["run_counters"] = f"""WITH {PROTOCOLS},
