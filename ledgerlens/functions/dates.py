@@ -83,8 +83,3 @@ def in_window(c: str | Column, lo, hi, closed: str = "neither") -> Column:
     lo_ok = x >= F.lit(lo) if closed in ("left", "both") else x > F.lit(lo)
     hi_ok = x <= F.lit(hi) if closed in ("right", "both") else x < F.lit(hi)
     return lo_ok & hi_ok
-
-
-def year_sequence(start_year: int, end_year: int) -> Column:
-    """Array of the years of a work grid, to be exploded row-locally."""
-    return F.sequence(F.lit(start_year), F.lit(end_year))

@@ -76,11 +76,6 @@ def contains_ci(c: str | Column, phrase: str) -> Column:
     return F.lower(col_of(c)).contains(phrase.lower())
 
 
-def blank_to_null(c: str | Column) -> Column:
-    x = col_of(c)
-    return F.when(x != "", x)
-
-
 def basename(c: str | Column) -> Column:
     """Last path segment of a key or URL path (query and fragment removed)."""
     return F.regexp_extract(F.regexp_replace(col_of(c), r"[?#].*$", ""), r"([^/]*)$", 1)

@@ -68,6 +68,19 @@ def final_vote_items(hits: DataFrame, *, hit: str = "hit", phrase: str = FINAL_V
     return hits.select(F.inline(keep))
 
 
+def document_items(hits: DataFrame, *, hit: str = "hit") -> DataFrame:
+    """``(grnr, pdf_files)`` of every hit with a number: all documents in the
+    order of the search tree, with or without title and file."""
+    g = F.col(f"{hit}.Geschaeft")
+    files = F.flatten(F.transform(
+        F.coalesce(g["Ablaufschritte"]["Aufgabe"], F.array()),
+        lambda a: F.transform(F.coalesce(a["Dokumente"]["Dokument"], F.array()),
+                              lambda d: F.struct(d["Titel"].alias("titel"), d["File"]["_ID"].alias("file_id")))))
+    item = F.struct(g["GRNr"].alias("grnr"), files.alias("pdf_files"))
+    # As above: the condition stays inside the generator.
+    return hits.select(F.inline(F.filter(F.array(item), lambda r: _present(r["grnr"]))))
+
+
 def final_vote_documents(items: DataFrame) -> DataFrame:
     """One row per final-vote document: ``(grnr, titel, doc_titel, file_id)``."""
     return items.select("grnr", "titel", F.explode("pdf_files").alias("f")) \

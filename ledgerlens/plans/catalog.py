@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql import Window
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from .. import bindings as B
 from ..functions.dates import daily_window, in_window, ts_literal
@@ -20,7 +21,7 @@ from ..operators import cleaning, quality
 from ..operators.extract import extract_protocol, extract_questions, questions_per_year, run_counters
 from ..operators.worklist import (
     business_items,
-    coverage_gaps,
+    document_items,
     final_vote_documents,
     final_vote_items,
     items_to_json,
@@ -198,6 +199,18 @@ def q_document_ordinals(spark, sf):
     return number_documents(_items(_t(spark, sf)))
 
 
+def q_document_ordinals_all(spark, sf):
+    """All documents are numbered, those without a file ID too, and then skipped."""
+    return number_documents(document_items(B.hits(_t(spark, sf))))
+
+
+def q_business_xml_files(spark, sf):
+    """The hits written out as search-result files and read back by row tag."""
+    p = scratch_path(spark, "hits_xml")
+    B.hits_xml(_t(spark, sf)).select("xml").write.text(p)
+    return final_vote_documents(final_vote_items(readers.read_business_xml(spark, p, multiline=False)))
+
+
 def q_worklist_json(spark, sf):
     msgs = items_to_json(_items(_t(spark, sf)))
     m = F.from_json("body", VOTE_ITEM)
@@ -289,16 +302,17 @@ def q_roundtrip_csv(spark, sf):
     df = _t(spark, sf).documents.select("doc_id", "lang", "text")
     p = scratch_path(spark, "documents_csv")
     writers.write_csv(df, p)
-    schema = "doc_id bigint, lang string, text string"
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').csv(p))
+    back = readers.read_survey_csv(spark, p, glob="*.csv", columns=["doc_id", "lang", "text"])
+    return back.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def q_roundtrip_json(spark, sf):
     df = _t(spark, sf).documents.select("doc_id", "lang", "text")
     p = scratch_path(spark, "documents_json")
     writers.write_json(df, p)
-    return spark.read.schema("doc_id bigint, lang string, text string").json(p)
+    record = StructType([StructField("doc_id", LongType()), StructField("lang", StringType()),
+                         StructField("text", StringType())])
+    return readers.read_records(spark, p, record, multiline=False)
 
 
 def q_roundtrip_partitioned(spark, sf):
@@ -316,6 +330,80 @@ def q_roundtrip_partitioned(spark, sf):
                        "betrag", "n_rows")
 
 
+ENVELOPE_RECORD = StructType([StructField("nr", LongType()), StructField("titel", StringType())])
+
+
+def _envelopes(spark, sf):
+    """One envelope a line and an order, of 1 + key%3 records; every 50th line is cut off."""
+    k = F.col("o_orderkey")
+    records = F.transform(F.sequence(F.lit(0).cast("bigint"), k % 3),
+                          lambda i: F.struct((k * 10 + i).alias("nr"), F.col("o_orderpriority").alias("titel")))
+    line = F.to_json(F.struct(records.alias("value")))
+    line = F.when(k % 50 == 0, line.substr(F.lit(1), F.length(line) - 5)).otherwise(line)
+    p = scratch_path(spark, "envelopes")
+    _t(spark, sf).orders.select(line.alias("value")).write.text(p)
+    return p
+
+
+def q_envelope_records(spark, sf):
+    return readers.read_envelope(spark, _envelopes(spark, sf), ENVELOPE_RECORD, multiline=False)
+
+
+def q_envelope_rejects(spark, sf):
+    bad = readers.envelope_rejects(spark, _envelopes(spark, sf), ENVELOPE_RECORD, multiline=False)
+    return bad.select(F.regexp_extract("raw", r'"nr":(\d+)', 1).cast("bigint").alias("first_nr"))
+
+
+def q_clean_table_catalog(spark, sf):
+    """The clean institutions as a catalog table, read by its name."""
+    name = "ledgerlens_clean_institutions"
+    writers.write_clean(cleaning.clean_institutions(B.raw_institutions(_t(spark, sf))),
+                        scratch_path(spark, "clean_institutions"), table=name)
+    return readers.read_table(spark, name)
+
+
+def q_append_pending_rerun(spark, sf):
+    """Part of the work lands first, then all of it, then all of it again: each item is there once."""
+    work = _t(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    p = scratch_path(spark, "pending_sink")
+    done = work.filter(F.lit(False))
+    for landed in (work.filter("o_orderstatus = 'F'"), work, work):
+        writers.append_pending(landed, done, ["o_orderkey"], p)
+        done = spark.read.schema(work.schema).parquet(p)
+    return done
+
+
+def q_questions_master_csv(spark, sf):
+    """The questions of all years in one CSV result, read back."""
+    p = scratch_path(spark, "questions_master")
+    writers.write_csv(_questions(_t(spark, sf)), p)
+    back = readers.read_survey_csv(spark, p, glob="*.csv", columns=["doc_id", "year", "page", "id", "text"])
+    return back.withColumns({"doc_id": F.col("doc_id").cast("bigint"), "page": F.col("page").cast("int")})
+
+
+def q_trends_for_reader(spark, sf):
+    """The trends in reading order, with the row number they come in (a few rows a year)."""
+    df = V.for_reader(V.expenditure_trends(B.spending(_t(spark, sf))), "year", "type")
+    at = df.withColumn("_at", F.monotonically_increasing_id())
+    return at.withColumn("row_no", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
+def q_incremental_landings(spark, sf):
+    """Two landings, a run after each: the second run cleans the new files only."""
+    events = _t(spark, sf).events
+    landing = scratch_path(spark, "events_landing")
+    sink = scratch_path(spark, "survey_landings")
+
+    def clean(e):
+        return cleaning.clean_survey(B.raw_survey_from_events(e))
+
+    early = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    for part in (early, ~early):
+        events.filter(part).write.mode("append").parquet(landing)
+        run_incremental(spark, landing, events.schema, clean, sink, sink + "_checkpoint")
+    return read_sink(spark, sink)
+
+
 def q_incremental(spark, sf):
     src_schema = spark.read.parquet(f"{sf}/events.parquet").schema
     sink = scratch_path(spark, "survey_incremental")
@@ -355,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "run_counters": q_run_counters,
     "final_vote_documents": q_final_vote_documents,
     "document_ordinals": q_document_ordinals,
+    "document_ordinals_all": q_document_ordinals_all,
+    "business_xml_files": q_business_xml_files,
     "worklist_json": q_worklist_json,
     "props_from_json": q_props_from_json,
     "doc_manifest": q_doc_manifest,
@@ -369,4 +459,11 @@ QUERIES: dict[str, Query] = {
     "sink_roundtrip_json": q_roundtrip_json,
     "sink_roundtrip_partitioned": q_roundtrip_partitioned,
     "incremental_clean": q_incremental,
+    "incremental_landings": q_incremental_landings,
+    "envelope_records": q_envelope_records,
+    "envelope_rejects": q_envelope_rejects,
+    "clean_table_catalog": q_clean_table_catalog,
+    "append_pending_rerun": q_append_pending_rerun,
+    "questions_master_csv": q_questions_master_csv,
+    "trends_for_reader": q_trends_for_reader,
 }

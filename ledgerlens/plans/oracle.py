@@ -168,6 +168,19 @@ finals AS (
   FROM td
   WHERE (k + a + d) % 2 = 0 AND (k + a * d) % 4 <> 0 AND (k + d) % 11 <> 0)"""
 
+# All documents of the hits, numbered before any is left out.
+ALL_DOCS = """o AS (SELECT o_orderkey AS k, o_orderdate FROM orders WHERE o_orderkey % 50 <> 0),
+ta AS (SELECT k, o_orderdate, unnest(range(1, CAST(k % 3 + 2 AS BIGINT))) AS a FROM o),
+td AS (SELECT k, o_orderdate, a, unnest(range(1, CAST((k + a) % 3 + 2 AS BIGINT))) AS d FROM ta),
+documents_of_hits AS (
+  SELECT CAST(year(o_orderdate) AS VARCHAR) || '/' || CAST(k AS VARCHAR) AS grnr,
+         CASE WHEN (k + a + d) % 2 = 0 THEN 'SCHLUSSabstimmung ' ELSE 'Antrag ' END
+           || CAST(a AS VARCHAR) || '.' || CAST(d AS VARCHAR) AS doc_titel,
+         CASE WHEN (k + a * d) % 4 <> 0 AND (k + d) % 11 <> 0
+              THEN CAST(k AS VARCHAR) || '-' || CAST(a AS VARCHAR) || '-' || CAST(d AS VARCHAR) END AS file_id,
+         ROW_NUMBER() OVER (PARTITION BY k ORDER BY a, d) AS ordinal
+  FROM td)"""
+
 
 # ----------------------------------------------------------------- quality
 
@@ -381,4 +394,19 @@ SELECT institution, jahr, betragstyp, CAST(SUM(CAST(betrag AS {M})) AS DOUBLE) A
        COUNT(*) AS n_rows
 FROM spending GROUP BY 1, 2, 3"""
     s["incremental_clean"] = s["clean_survey"]
+    s["incremental_landings"] = s["clean_survey"]
+    s["document_ordinals_all"] = f"""WITH {ALL_DOCS}
+SELECT grnr, CAST(ordinal AS INTEGER) AS ordinal, doc_titel, file_id,
+       replace(grnr, '/', '-') || '_abstimmung_' || CAST(ordinal AS VARCHAR) || '.pdf' AS pdf_filename
+FROM documents_of_hits WHERE file_id IS NOT NULL"""
+    s["business_xml_files"] = s["final_vote_documents"]
+    s["envelope_records"] = """SELECT o_orderkey * 10 + i AS nr, o_orderpriority AS titel
+FROM (SELECT o_orderkey, o_orderpriority, unnest(range(0, o_orderkey % 3 + 1)) AS i FROM orders)
+WHERE o_orderkey % 50 <> 0"""
+    s["envelope_rejects"] = "SELECT o_orderkey * 10 AS first_nr FROM orders WHERE o_orderkey % 50 = 0"
+    s["clean_table_catalog"] = s["clean_institutions"]
+    s["append_pending_rerun"] = "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders"
+    s["questions_master_csv"] = s["extract_questions"]
+    s["trends_for_reader"] = f"""SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY year ASC NULLS LAST, type) AS INTEGER) AS row_no
+FROM ({s["rq1_expenditure_trends"]})"""
     return s

@@ -38,14 +38,16 @@ def read_records(spark: SparkSession, path: str | list[str], schema: StructType,
 
 def read_envelope(spark: SparkSession, path: str | list[str], record: StructType, *,
                   field: str = "value", recursive: bool = True, glob: str | None = None,
-                  keep_path_keys: bool = False) -> DataFrame:
+                  keep_path_keys: bool = False, multiline: bool = True) -> DataFrame:
     """``{"value": [record, ...]}`` files -> one row per element of ``value``.
 
+    Without ``multiline`` every line is an envelope of its own, and large files split.
+
     ``keep_path_keys`` keeps ``key=value`` directory names as string columns
     (partition discovery with type inference off); it excludes ``recursive``.
     """
     schema = StructType([StructField(field, ArrayType(record))])
-    r = spark.read.schema(schema).option("multiLine", True)
+    r = spark.read.schema(schema).option("multiLine", multiline)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive and not keep_path_keys:
@@ -67,11 +69,11 @@ def read_envelope(spark: SparkSession, path: str | list[str], record: StructType
 
 
 def envelope_rejects(spark: SparkSession, path: str | list[str], record: StructType, *, field: str = "value",
-                     recursive: bool = True, glob: str | None = None) -> DataFrame:
-    """``(path, raw)`` of the envelope files that :func:`read_envelope` has no
-    rows of because they do not parse (cut off, not JSON)."""
+                     recursive: bool = True, glob: str | None = None, multiline: bool = True) -> DataFrame:
+    """``(path, raw)`` of the envelope files (without ``multiline``: lines) that
+    :func:`read_envelope` has no rows of because they do not parse (cut off, not JSON)."""
     schema = StructType([StructField(field, ArrayType(record)), StructField("_corrupt_record", StringType())])
-    r = spark.read.option("wholetext", True)
+    r = spark.read.option("wholetext", multiline)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
@@ -133,10 +135,15 @@ def read_survey_csv_declared(spark: SparkSession, path: str | list[str], **kw) -
     return read_survey_csv(spark, path, columns=survey_columns(), **kw)
 
 
-def read_business_xml(spark: SparkSession, path: str | list[str], *, row_tag: str = "Hit") -> DataFrame:
+def read_business_xml(spark: SparkSession, path: str | list[str], *, row_tag: str = "Hit",
+                      multiline: bool = True) -> DataFrame:
     """Search-result XML -> one row per ``<Hit>`` with the declared tree;
-    repeated elements are arrays whether they occur once or many times."""
-    df = (spark.read.format("xml").option("rowTag", row_tag).schema(HIT_XML)
+    repeated elements are arrays whether they occur once or many times.
+
+    A file is one document (what follows its root is not read).  Without
+    ``multiline`` each hit stands on a line of its own: such files split, and
+    need no common root."""
+    df = (spark.read.format("xml").option("rowTag", row_tag).schema(HIT_XML).option("multiLine", multiline)
           .option("recursiveFileLookup", True).load(path))
     return df.select(F.struct(*df.columns).alias("hit"))
 

@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def _rebalance(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,9 +39,10 @@ def write_json(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite", header: bool = True) -> None:
-    """CSV with header; quotes and embedded newlines are escaped by doubling."""
+    """CSV with header; quotes and embedded newlines are escaped by doubling,
+    blanks at the ends of a value stay.  CSV readers take empty text as null."""
     (df.write.mode(mode).option("header", header).option("quote", '"').option("escape", '"')
-       .csv(path))
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], *, fmt: str = "json") -> None:
@@ -57,18 +57,13 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], *, fmt: str
 
 
 def append_pending(work: DataFrame, done: DataFrame, keys: Sequence[str], path: str,
-                   fmt: str = "parquet") -> DataFrame:
-    """Idempotent keyed append: write only the work items not yet in ``done``."""
+                   fmt: str = "parquet") -> None:
+    """Idempotent keyed append: write only the work items not yet in ``done``
+    (which may be what ``path`` held when it was read)."""
     from ..operators.worklist import pending
-    todo = pending(work, done, keys)
-    todo.write.mode("append").format(fmt).save(path)
-    return todo
+    pending(work, done, keys).write.mode("append").format(fmt).save(path)
 
 
 def publish_view(df: DataFrame, name: str) -> str:
     df.createOrReplaceTempView(name)
     return name
-
-
-def with_run_date(df: DataFrame, run_date: str) -> DataFrame:
-    return df.withColumn("run_date", F.lit(run_date))

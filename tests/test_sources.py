@@ -128,3 +128,37 @@ def test_corrupt_records_are_kept_aside(spark, tmp_path):
     assert [(r.institution, r.jahr) for r in good] == [("0010", 2020)]
     assert len(bad) == 1 and bad[0].institution is None
     assert bad[0]._corrupt_record.startswith('{"institution": "0020"')
+
+
+def test_business_xml_a_hit_a_line_without_a_root(spark, tmp_path):
+    from ledgerlens.operators.worklist import document_items
+
+    hit = ("<Hit><Geschaeft><GRNr>{}</GRNr><Ablaufschritte><Aufgabe><Dokumente><Dokument><Titel>t</Titel>"
+           "</Dokument></Dokumente></Aufgabe></Ablaufschritte></Geschaeft></Hit>\n")
+    (tmp_path / "a.xml").write_text(hit.format(1) + hit.format(2) + hit.format(3))
+    items = document_items(readers.read_business_xml(spark, str(tmp_path), multiline=False)).collect()
+    assert sorted((r.grnr, [tuple(f) for f in r.pdf_files]) for r in items) == [(str(i), [("t", None)]) for i in (1, 2, 3)]
+
+
+def test_envelope_lines_and_blanks_in_csv(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    record = StructType([StructField("a", StringType())])
+    (tmp_path / "e.json").write_text('{"value": [{"a": "1"}, {"a": "2"}]}\n{"value": [{"a": "3"\n{"value": []}\n')
+    got = readers.read_envelope(spark, str(tmp_path), record, multiline=False).collect()
+    assert sorted(r.a for r in got) == ["1", "2"]
+    assert [r.raw for r in readers.envelope_rejects(spark, str(tmp_path), record, multiline=False).collect()] == ['{"value": [{"a": "3"']
+    rows = [(" a ",), ("\tb\n",), ('q"',)]
+    writers.write_csv(spark.createDataFrame(rows, "t string"), str(tmp_path / "csv"))
+    back = readers.read_survey_csv(spark, str(tmp_path / "csv"), glob="*.csv", columns=["t"])
+    assert sorted(r.t for r in back.collect()) == sorted(t for t, in rows)
+
+
+def test_append_pending_adds_each_key_once(spark, tmp_path):
+    p = str(tmp_path / "sink")
+    work = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    writers.append_pending(work, work.limit(0), ["k"], p)
+    for _ in range(2):
+        writers.append_pending(work.unionByName(spark.createDataFrame([(3, "c")], "k int, v string")),
+                               spark.read.parquet(p), ["k"], p)
+    assert sorted(tuple(r) for r in spark.read.parquet(p).collect()) == [(1, "a"), (2, "b"), (3, "c")]

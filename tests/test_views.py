@@ -100,3 +100,9 @@ def test_hot_institution_against_brute_force(spark):
         k = (f"D{int(i) % 4}", cat)
         want[k] = want.get(k, Decimal(0)) + Decimal(str(b))
     assert got == {k: float(v) for k, v in want.items()}
+
+
+def test_reader_order_puts_nulls_last(spark):
+    df = spark.createDataFrame([(None, "b"), (2021, "a"), (2020, "z")], "year int, start string")
+    assert [r.year for r in V.for_reader(df).collect()] == [2020, 2021, None]
+    assert [r.start for r in V.for_reader(df, "start").collect()] == ["a", "b", "z"]
