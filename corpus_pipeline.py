@@ -41,8 +41,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     with one id, that with the smallest text key; repeated rows are merged)."""
     ship(spark)
     found = written(jaccard.jaccard_join(docs), "stage-jaccard").filter("n_links > 0")
-    first = found.groupBy("class_id").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    gone = (found.join(first, found["class_id"].eqNullSafe(first["class_id"]))
+    first = found.groupBy("group_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    gone = (found.join(first, "group_key")
             .filter(~F.struct("doc_id", "text_key").eqNullSafe(F.col("first")))
             .select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")))
     kept = docs.withColumn("__k", text_key("text"))

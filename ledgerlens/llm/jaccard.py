@@ -24,7 +24,8 @@ Result: one row per document (repeated rows each get one): n_shingles, class_id
 (smallest id of its group; its own where it links to nothing; null if the group
 has no id), set_id (smallest id with an equal set), n_copies (documents of an
 equal set, itself included), n_links (other documents at or over the threshold,
-copies included), n_set_links (other classes).
+copies included), n_set_links (other classes), group_key (names the group: one
+value for each, also where its documents have no id; null without a set).
 """
 
 from __future__ import annotations
@@ -314,7 +315,7 @@ def whole_sets(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE,
                  threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(doc_id, text_key, n_shingles, class_id, set_id, n_copies, n_links, n_set_links) per document."""
+    """(doc_id, text_key, n_shingles, class_id, set_id, n_copies, n_links, n_set_links, group_key) per document."""
     signed = written(sign(docs, doc_id, text, k), "jaccard-signed")
     classes = written(
         signed.filter("k1 is not null").groupBy("k1", "k2")
@@ -337,7 +338,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     named = classes.join(counts, "id", "left").join(linked, F.col("id") == F.col("v"), "left").select(
         "id", "k1", "k2", "set_id", "copies", "links", "sets", F.coalesce("label", "id").alias("label"))
     first = named.groupBy("label").agg(F.min("set_id").alias("class_id"))
-    named = named.join(first, "label").drop("label", "id")
+    named = named.join(first, "label").drop("id")
     out = signed.select("doc", "key", "k1", "k2", "n").join(named, ["k1", "k2"], "left")
     alone = F.col("k1").isNull()
     return out.select(
@@ -346,4 +347,4 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
         F.when(alone, F.col("doc")).otherwise(F.col("set_id")).alias("set_id"),
         F.coalesce("copies", F.lit(1)).alias("n_copies"),
         (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"),
-        F.coalesce("sets", F.lit(0)).alias("n_set_links"))
+        F.coalesce("sets", F.lit(0)).alias("n_set_links"), F.col("label").alias("group_key"))

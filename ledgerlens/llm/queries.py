@@ -21,7 +21,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_join(_docs(spark, sf_dir)).drop("text_key")
+    return jaccard.jaccard_join(_docs(spark, sf_dir)).drop("text_key", "group_key")
 
 
 def op2_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,3 +27,26 @@ def test_run(spark):
     out = P.run(spark, SF)
     assert {"doc_id", "text", "lang", "source", "n_chars", "copy", "position"} == set(out.columns)
     assert 0 < out.count() and [n for n, _ in P.STAGES][0] == "language_id" and len(P.STAGES) == 5
+
+
+def texts(n):
+    return [" ".join(f"t{i}w{j}" for j in range(30)) for i in range(n)]
+
+
+def stage_jaccard(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    return sorted(((r.doc_id, r.text) for r in P.jaccard_join(spark, docs, SF).collect()), key=str)
+
+
+def test_jaccard_stage_keeps_each_group_without_ids(spark):
+    t = texts(4)
+    near = [x + " end" for x in t[:3]]
+    got = stage_jaccard(spark, [(None, x, "s") for x in t[:3] + near] + [(None, t[3], "s")])
+    assert len(got) == 4 and [d for d, _ in got] == [None] * 4
+    assert {x.removesuffix(" end") for _, x in got} == set(t)
+
+
+def test_jaccard_stage_keeps_both_groups_of_one_id(spark):
+    a, b = texts(2)
+    got = stage_jaccard(spark, [(1, a, "s"), (2, a, "s"), (1, b, "s"), (3, b, "s")])
+    assert got == sorted([(1, a), (1, b)], key=str)
