@@ -37,17 +37,23 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest id (of rows
-    with one id, that with the smallest text key; repeated rows are merged)."""
+    """One row of each group stays: that with the smallest id (a null id before
+    others; of rows with one id, that with the smallest text key; rows equal in
+    both are one document, of which the smallest row stays)."""
     ship(spark)
     found = written(jaccard.jaccard_join(docs), "stage-jaccard").filter("n_links > 0")
-    first = found.groupBy("group_key").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    gone = (found.join(first, "group_key")
-            .filter(~F.struct("doc_id", "text_key").eqNullSafe(F.col("first")))
-            .select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")))
-    kept = docs.withColumn("__k", text_key("text"))
-    kept = kept.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__k") == F.col("__key")), "left_anti")
-    return kept.drop("__k")
+    linked = found.groupBy("group_key", "doc_id", "text_key").agg(F.count("*").alias("rows"))
+    first = linked.groupBy("group_key").agg(F.min(F.struct("doc_id", "text_key", "rows")).alias("first"))
+    marks = written(linked.join(first, "group_key").select(
+        F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), "rows",
+        F.struct("doc_id", "text_key", "rows").eqNullSafe(F.col("first")).alias("is_first")), "stage-jaccard-marks")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__k") == F.col("__key"))
+    rows = docs.withColumn("__k", text_key("text"))
+    kept = rows.join(marks.filter("not is_first or rows > 1"), same, "left_anti").drop("__k")
+    # a minimum by partial sums, so that no task gets all rows of a document repeated very often
+    merged = (rows.join(marks.filter("is_first and rows > 1"), same, "left_semi")
+              .groupBy("doc_id", "__k").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*"))
+    return kept.unionByName(merged)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,13 @@ def test_jaccard_stage_keeps_both_groups_of_one_id(spark):
     a, b = texts(2)
     got = stage_jaccard(spark, [(1, a, "s"), (2, a, "s"), (1, b, "s"), (3, b, "s")])
     assert got == sorted([(1, a), (1, b)], key=str)
+
+
+def test_jaccard_stage_merges_repeated_rows(spark):
+    a, b, c = texts(3)
+    rows = [(1, a, "y"), (1, a, "x"), (1, a, "x"), (2, a, "s")] + [(None, b, "s")] * 5 + [(7, b, "s"), (4, c, "s")]
+    rows += [(5, "", "s"), (5, "", "s"), (6, None, "s")]
+    got = stage_jaccard(spark, rows)
+    assert got == sorted([(1, a), (None, b), (4, c), (5, ""), (5, ""), (6, None)], key=str)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert [r.source for r in P.jaccard_join(spark, docs, SF).filter("doc_id = 1").collect()] == ["x"]
