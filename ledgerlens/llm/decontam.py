@@ -9,11 +9,13 @@ shared folder; the search reads nothing else.
 
 Search: a benchmark item's windows are its runs of ``WORDS`` consecutive words
 (an item of fewer, but not none, is one window). Every window is anchored at
-the term that is rarest in the whole corpus, and goes only to segments that
-hold that term. There the offset-adjusted posting lists are intersected from
-the rarest term on. A place where all lists meet is an exact phrase; one where
-at most ``misses`` terms lie further than ``slop`` words from their place is a
-proximity match, reported apart.
+its ``misses + 1`` terms that are rarest in the whole corpus (a term that occurs
+nowhere is a miss and needs no anchor; a short window has one), and goes only to
+segments that hold one of them: any match with at most ``misses`` misses holds
+one. There the offset-adjusted posting lists are intersected from the rarest
+term on. A place of a document where all lists meet is an exact phrase; one
+where at most ``misses`` terms lie further than ``slop`` words from their place
+(or outside the document) is a proximity match, reported apart.
 
 Result: a row per document (repeated rows each get one): n_words, n_hit (words
 inside any occurrence of a window), n_items and item_ids of exact matches,
@@ -133,8 +135,8 @@ def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "te
     return part.mapInArrow(run, "item string, w long, terms binary")
 
 
-def anchored(windows: DataFrame, index: DataFrame) -> DataFrame:
-    """(w, terms, off, term): windows all of whose terms occur, with their rarest term and its place."""
+def anchored(windows: DataFrame, index: DataFrame, misses: int = MISSES) -> DataFrame:
+    """(w, terms, off, term): a row for each anchor of the windows that can match, and its place."""
     w = windows.select("w", "terms").dropDuplicates(["w"])
 
     def run(batches):
@@ -150,14 +152,18 @@ def anchored(windows: DataFrame, index: DataFrame) -> DataFrame:
     terms = written(w.mapInArrow(run, "w long, term long, off long, size long"), "decontam-terms")
     df = (index.filter("term is not null").join(terms.select("term").distinct(), "term", "left_semi")
           .groupBy("term").agg(F.sum("n").alias("df")))
+    # at most WORDS terms a window; a short one must match as a phrase
     best = (terms.join(df, "term").groupBy("w", "size")
-            .agg(F.min(F.struct("df", "off", "term")).alias("a"), F.count("*").alias("there"))
-            .filter("there = size").select("w", F.col("a.off").alias("off"), F.col("a.term").alias("term")))
+            .agg(F.sort_array(F.collect_list(F.struct("df", "off", "term"))).alias("there"))
+            .withColumn("spare", F.when(F.col("size") == WORDS, misses).otherwise(0) - F.col("size") + F.size("there"))
+            .filter("spare >= 0").select("w", F.explode(F.slice("there", F.lit(1), (F.col("spare") + 1).cast("int"))).alias("a"))
+            .select("w", F.col("a.off").alias("off"), F.col("a.term").alias("term")))
     return written(w.join(best, "w"), "decontam-windows")
 
 
-def _search(postings: pa.Table, wins: pa.Table, misses: int, slop: int):
-    """Matches within a segment: (window number, position, exact)."""
+def _search(postings: pa.Table, wins: pa.Table, misses: int, slop: int, first: np.ndarray, last: np.ndarray):
+    """Matches within a segment: (row of wins, position, document, exact).
+    first, last: where the documents with words begin and end."""
     lists = postings.filter(pc.is_valid(postings.column("term"))).sort_by("term")
     term = lists.column("term").to_numpy()
     size = lists.column("n").to_numpy()
@@ -181,37 +187,60 @@ def _search(postings: pa.Table, wins: pa.Table, misses: int, slop: int):
     cost[np.arange(len(terms)), anchor] = -1
     order = np.argsort(cost, axis=1, kind="stable")
     anchors = ids[np.arange(len(terms)), anchor]
-    many = size[anchors]
+    spare = np.where(length == WORDS, misses, 0)  # a short window must match as a phrase
+    absent = ((ids < 0) & (np.arange(wide)[None, :] < length[:, None])).sum(1)
+    many = np.where(absent <= spare, size[anchors], 0)
     ends = np.cumsum(many)
+
+    def away(win, start, doc, o):
+        """How far the nearest place of each window's term o in the document is from where it should be."""
+        t = ids[win, o]
+        lo, hi = first[doc], last[doc]
+        goal = np.clip(start + o, lo, hi - 1)
+        base = np.maximum(t, 0) << 32
+        x = np.searchsorted(keyed, base + goal)
+        up = keyed[np.minimum(x, len(keyed) - 1)] - base
+        down = keyed[np.maximum(x - 1, 0)] - base
+        up = np.where((t >= 0) & (up >= lo) & (up < hi), np.abs(up - goal), 1 << 30)
+        return np.minimum(up, np.where((t >= 0) & (down >= lo) & (down < hi), np.abs(goal - down), 1 << 30))
+
     a = 0
     while a < len(terms):
         b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CANDIDATES, "right")))
         win = np.repeat(np.arange(a, b), many[a:b])
         k = np.arange(len(win)) - np.repeat(np.cumsum(many[a:b]) - many[a:b], many[a:b])
         start = pos[ptr[anchors[win]] + k] - anchor[win]
-        missed, exact = np.zeros(len(win), np.int8), np.ones(len(win), bool)
+        doc = np.searchsorted(first, start + anchor[win], "right") - 1
+        # the anchor may lie off its place itself, so its place is found up to slop and the others up to twice that
+        exact = (start >= first[doc]) & (start + length[win] <= last[doc])
+        missed = np.zeros(len(win), np.int8)
         for j in range(1, wide):
-            o = order[win, j]
+            far = away(win, start, doc, order[win, j])
             on = j < length[win]
-            t = ids[win, o]
-            goal = (np.maximum(t, 0) << 32) + start + o
-            x = np.searchsorted(keyed, goal)
-            up = np.abs(keyed[np.minimum(x, len(keyed) - 1)] - goal)
-            down = np.abs(keyed[np.maximum(x - 1, 0)] - goal)
-            off = np.where(t >= 0, np.minimum(up, down), 1 << 30)
-            exact &= (off == 0) | ~on
-            missed += ((off > slop) & on).astype(np.int8)
-            # without a term a short window must match as a phrase
+            exact &= (far == 0) | ~on
+            missed += ((far > 2 * slop) & on).astype(np.int8)
             keep = exact | ((missed <= misses) & (length[win] == WORDS))
-            win, start, missed, exact = win[keep], start[keep], missed[keep], exact[keep]
-        yield win, start, exact
+            win, start, doc, missed, exact = win[keep], start[keep], doc[keep], missed[keep], exact[keep]
+        keep = exact | (length[win] == WORDS)
+        win, start, doc, exact = win[keep], start[keep], doc[keep], exact[keep]
+        yield win[exact], start[exact], doc[exact], exact[exact]
+        win, start, doc = win[~exact], start[~exact], doc[~exact]
+        for shift in range(-slop, slop + 1):
+            ok = (start + shift >= first[doc]) & (start + shift + length[win] <= last[doc])
+            w, at, d = win[ok], start[ok] + shift, doc[ok]
+            missed = np.zeros(len(w), np.int8)
+            for j in range(wide):
+                missed += ((away(w, at, d, order[w, j]) > slop) & (j < length[w])).astype(np.int8)
+                keep = missed <= misses
+                w, at, d, missed = w[keep], at[keep], d[keep], missed[keep]
+            yield w, at, d, np.zeros(len(w), bool)
         a = b
 
 
 def find(index: DataFrame, windows: DataFrame, misses: int = MISSES, slop: int = SLOP) -> DataFrame:
     """(segment, at, n_hit, w, exact): a row without w for each document hit, and
     a row for each document and window it matches."""
-    wins = anchored(windows, index)
+    wins = anchored(windows, index, misses)
     placed = written(index.filter("term is not null").select("segment", "term").join(wins, "term")
                      .select("segment", "w", "terms", "off"), "decontam-placed")
     there = placed.select("segment").distinct()
@@ -231,12 +260,8 @@ def find(index: DataFrame, windows: DataFrame, misses: int = MISSES, slop: int =
         length = np.array([len(x) // 8 for x in wins.column("terms").to_pylist()])
         if postings.num_rows > rows.num_rows and wins.num_rows:
             full = np.flatnonzero(n > 0)
-            for win, start, exact in _search(postings, wins, misses, slop):
-                ok = (start >= 0) & (start + length[win] <= total)
-                win, start, exact = win[ok], start[ok], exact[ok]
-                row = full[np.searchsorted(first[full], start, "right") - 1]
-                ok = start + length[win] <= first[row] + n[row]
-                win, start, exact, row = win[ok], start[ok], exact[ok], row[ok]
+            for win, start, doc, exact in _search(postings, wins, misses, slop, first[full], (first + n)[full]):
+                row = full[doc]
                 np.add.at(covered, start[exact], 1)
                 np.add.at(covered, (start + length[win])[exact], -1)
                 found.append(np.unique(np.stack([row, win, exact]), axis=1))

@@ -111,6 +111,45 @@ def test_proximity_match_is_told_apart(spark):
     assert got == {1: (1, 0), 2: (0, 1), 3: (0, 0)}
 
 
+def test_proximity_match_with_replaced_words(spark):
+    """All near matches by brute force: words replaced, moved and dropped; terms rare, common and absent."""
+    ship(spark)
+    rng = __import__("random").Random(5)
+    items = {i: [f"i{i}t{j}" if rng.random() < 0.5 else f"c{rng.randrange(12)}" for j in range(10 + i % 3)] for i in range(12)}
+    items[50] = ["c1", "c2"]
+    texts = ["one two three".split(), list(items[0])]
+    for i in list(range(12)) * 8:
+        w = list(items[i])
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(w))
+            w[at:at + 1] = rng.choice([[f"new{rng.randrange(9)}"], [], [w[at], "more"], [f"c{rng.randrange(12)}"]])
+        texts.append([f"c{rng.randrange(12)}" for _ in range(rng.randrange(4))] + w + ["end"] * rng.randrange(2))
+    # of item 60 two words occur nowhere; of item 61 the words replaced are as rare as any
+    items[60] = [f"gone{j}" for j in range(2)] + [f"k{j}" for j in range(8)]
+    items[61] = [f"m{j}" for j in range(10)]
+    texts += [["a", "b"] + items[60][2:], ["x0", "x1"] + items[61][2:], ["x0", "x1", "x2"] + items[61][3:], items[61][:5], items[61][5:]]
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    b = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {r.doc_id: (r.n_items, r.n_near_items) for r in decontam.decontaminate(d, b).collect()}
+
+    def near(w, g):
+        return len(g) == 10 and any(sum(t not in w[max(0, s + o - 2):s + o + 3] for o, t in enumerate(g)) <= 2
+                                    for s in range(len(w) - len(g) + 1))
+
+    want = {}
+    for i, w in enumerate(texts):
+        kinds = []
+        for t in items.values():
+            gs = [t[j:j + min(10, len(t))] for j in range(max(1, len(t) - 9))]
+            exact = any(w[s:s + len(g)] == g for g in gs for s in range(len(w) - len(g) + 1))
+            kinds.append("exact" if exact else "near" if any(near(w, g) for g in gs) else "")
+        want[i] = (kinds.count("exact"), kinds.count("near"))
+    assert got == want
+    n = len(texts)
+    assert [want[i] for i in range(n - 5, n)] == [(0, 1), (0, 1), (0, 0), (0, 0), (0, 0)]
+    assert sum(x for _, x in want.values()) > 20
+
+
 def test_posting_lists_round_trip():
     import numpy as np
 
