@@ -205,7 +205,8 @@ def train(x, bounds, seed, rounds: int = 60) -> Model:
     return Model(theta[:w.size].reshape(w.shape), theta[w.size:].reshape(2, 2))
 
 
-def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, long: int = LONG) -> Model:
+def sample_lines(docs: DataFrame, text: str = "text", sample: int = SAMPLE, long: int = LONG) -> DataFrame:
+    """(h, line, seed, features) of the lines of the sampled texts of at most ``long`` lines."""
     rows = (docs.select(F.col(text).alias("text")).filter(F.length("text") > 0)
             .select("text", F.xxhash64("text").alias("h")))
     chosen = written(rows.select("h").distinct().orderBy("h").limit(sample), "linecrf-sample")
@@ -215,16 +216,19 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, long: int = L
         for batch, data, off in chunks(batches):
             c = Lines(data, off)
             row = np.repeat(np.arange(len(off) - 1), np.diff(c.bounds))
-            h = np.asarray(column(batch, "h"))[row]
+            on = np.flatnonzero((np.diff(c.bounds) <= long)[row])
+            line = on - c.bounds[:-1][row[on]]
+            h = np.asarray(column(batch, "h"))[row[on]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(np.arange(len(row)) - c.bounds[:-1][row]), pa.array(c.seed, pa.int32()),
-                 *(pa.array(f) for f in c.x.T)], names=["h", "line", "seed", *FEATURES])
+                [pa.array(h), pa.array(line), pa.array(c.seed[on], pa.int32()),
+                 *(pa.array(f) for f in c.x[on].T)], names=["h", "line", "seed", *FEATURES])
+
+    return rows.mapInArrow(run, "h long, line long, seed int, " + ", ".join(f"{c} double" for c in FEATURES))
 
-    got = rows.mapInArrow(run, "h long, line long, seed int, " + ", ".join(f"{c} double" for c in FEATURES)).toPandas()
-    got = got.sort_values(["h", "line"])
+
+def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, long: int = LONG) -> Model:
+    got = sample_lines(docs, text, sample, long).toPandas().sort_values(["h", "line"])
     h = got["h"].to_numpy()
-    n = got.groupby("h")["line"].transform("size").to_numpy()
-    got, h = got[n <= long], h[n <= long]
     cut = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, int)
     return train(got[FEATURES].to_numpy(float), np.append(cut, len(h)), got["seed"].to_numpy())
 

@@ -217,6 +217,14 @@ def test_line_rules_base_counts(spark, docs):
         assert not (a.kept and a.base_failed)
 
 
+def test_line_rules_collect_no_line_of_long_texts(spark):
+    ship(spark)
+    rows = [("\n".join(f"line {i} of a text" for i in range(n)),) for n in (3, 128, 129, 5000)]
+    got = linecrf.sample_lines(spark.createDataFrame(rows, "text string")).collect()
+    assert sorted(r.line for r in got) == sorted([*range(3), *range(128)])
+    assert len({r.h for r in got}) == 2
+
+
 def test_viterbi_and_marginals_against_enumeration():
     import itertools
 
