@@ -6,6 +6,17 @@ from __future__ import annotations
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: CRC-32 in SQL: the table, and the checksum of a text column's bytes with the table as column t.
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) t)"""
+
+
+def _crc32(col: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode({col}))),
+    lambda i: ('0x' || substr(hex(encode({col})), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"""
+
+
 ORACLE_SQL = {
     "op2_poisson_mixing": """
 WITH n AS (SELECT source s, count(*) n FROM documents GROUP BY source),
@@ -61,6 +72,46 @@ g AS (SELECT doc_id, count(*) n FROM gone GROUP BY doc_id)
 SELECT documents.doc_id, CASE WHEN text IS NULL THEN NULL ELSE coalesce(kept.x, '') END AS text,
        coalesce(n.n, 0) AS n_lines, coalesce(g.n, 0) AS n_removed
 FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id) LEFT JOIN g USING (doc_id)
+""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({_FOLDED}, '[a-z\x{{C0}}-\x{{FF}}]+')) run FROM documents),
+g AS (SELECT doc_id, run, coalesce(doc_id::VARCHAR, 'null') || ':' || run k, count(*) c FROM r GROUP BY doc_id, run),
+h AS (SELECT run, c, {_crc32("k")} h FROM g, {_CRC_TABLE} crc),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+             ELSE run END word, sum(c)::BIGINT n FROM h GROUP BY 1 HAVING sum(c) >= 3 AND length(word) >= 5),
+d AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) x
+      FROM (SELECT word, unnest(range(1, length(word) + 1))::INT i FROM v)),
+p AS (SELECT a.word a, b.word b FROM d a JOIN d b USING (x, i) WHERE a.word <> b.word
+      UNION SELECT word, x FROM d UNION SELECT x, word FROM d),
+m AS (SELECT p.a word, v.n, w.word form, w.n form_n FROM p JOIN v ON p.a = v.word JOIN v w ON p.b = w.word),
+f AS (SELECT word, count(*) n_near, first(form ORDER BY form_n DESC, form) form, first(form_n ORDER BY form_n DESC, form) form_n
+      FROM m GROUP BY word),
+o AS (SELECT v.word, n, coalesce(n_near, 0) n_near, CASE WHEN form_n >= 2 * n THEN form END form,
+             CASE WHEN form_n >= 2 * n THEN form_n END form_n FROM v LEFT JOIN f USING (word)),
+w AS (SELECT word, word top FROM o UNION ALL SELECT w.word, o.form FROM w JOIN o ON w.top = o.word WHERE o.form IS NOT NULL)
+SELECT o.*, w.top AS root FROM o JOIN w USING (word) JOIN o last ON w.top = last.word WHERE last.form IS NULL
+""",
+    "op12_importance_resampling": rf"""
+WITH a AS (SELECT doc_id, row_number() OVER () i, {_WORDS} w FROM documents),
+u AS (SELECT i, unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) x FROM a),
+b AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) x
+      FROM (SELECT {_WORDS} w FROM benchmark)),
+f AS (SELECT i, x, count(*) c FROM u GROUP BY i, x),
+x AS (SELECT x, {_crc32("x")} % 10000 bucket FROM (SELECT x FROM u UNION SELECT x FROM b), {_CRC_TABLE} crc),
+s AS (SELECT bucket, sum(c) s FROM f JOIN x USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) t FROM b JOIN x USING (x) GROUP BY bucket),
+n AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE s_all, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE t_all),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT gain
+         FROM s LEFT JOIN t USING (bucket), n),
+d AS (SELECT i, sum(c)::BIGINT n_features, floor(sum(c * gain)::DOUBLE / sum(c))::BIGINT weight
+      FROM f JOIN x USING (x) JOIN gain USING (bucket) GROUP BY i),
+e AS (SELECT a.doc_id, i, len(w) n_words, coalesce(n_features, 0) n_features, coalesce(weight, 0) weight,
+             ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT h FROM a LEFT JOIN d USING (i)),
+g AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT score FROM e),
+k AS (SELECT i, row_number() OVER (ORDER BY score DESC, doc_id) place FROM g WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= (SELECT count(*) FROM k) * 25 // 100 THEN place END AS rank
+FROM g LEFT JOIN k USING (i)
 """,
 }
 

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import decontam, jaccard, langid, linecrf, linededup, mixing, pii, puquality, toxicity, warc
+from ledgerlens.llm import (
+    bpe,
+    decontam,
+    jaccard,
+    langid,
+    linecrf,
+    linededup,
+    mixing,
+    pii,
+    puquality,
+    resample,
+    spelling,
+    toxicity,
+    warc,
+)
 from ledgerlens.llm._spark import fold, ship, table
 from ledgerlens.session import apply_defaults
 
@@ -77,6 +91,26 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(_docs(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_docs(spark, sf_dir))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.resample(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    vocab = bpe.vocabulary(spark, public_tokenizers.path("word_bpe_49k.json"))
+    out = bpe.decode(bpe.encode(docs, vocab), vocab)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,5 +129,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_bpe_round_trip": op13_bpe_round_trip,
     "pipeline": pipeline,
 }
