@@ -53,10 +53,22 @@ dg AS (SELECT doc_id, k, i, list_slice(w, i, i + k - 1) g
 m AS (SELECT doc_id, i, k, item FROM dg JOIN win USING (g)),
 hit AS (SELECT doc_id, count(DISTINCT pos) n_hit
         FROM (SELECT doc_id, unnest(range(i, i + k)) pos FROM (SELECT DISTINCT doc_id, i, k FROM m)) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) n_items, string_agg(item, ',' ORDER BY item) list FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+exact AS (SELECT DISTINCT doc_id, item FROM m),
+items AS (SELECT doc_id, count(*) n_items, string_agg(item, ',' ORDER BY item) list FROM exact GROUP BY doc_id),
+terms AS (SELECT t, count(*) n FROM (SELECT unnest(w) t FROM d) GROUP BY t),
+long_win AS (SELECT item, g, row_number() OVER () win FROM win WHERE len(g) = 10),
+slot AS (SELECT win, o, g[o] t FROM long_win, range(1, 11) r(o)),
+anchor AS (SELECT win, o, t FROM slot LEFT JOIN terms USING (t)
+           QUALIFY row_number() OVER (PARTITION BY win ORDER BY coalesce(n, 0), o) <= 3),
+place AS (SELECT doc_id, unnest(w) t, generate_subscripts(w, 1) pos FROM d),
+cand AS (SELECT DISTINCT doc_id, win, pos - o + k AS b FROM anchor JOIN place USING (t), range(-1, 4) r(k)),
+close AS (SELECT DISTINCT doc_id, item FROM cand JOIN long_win USING (win) JOIN d USING (doc_id)
+          WHERE b >= 1 AND b <= len(w) - 9
+          AND len(list_filter(range(1, 11), lambda o: list_contains(list_slice(w, greatest(b + o - 3, 1), b + o + 1), g[o]))) >= 8),
+near AS (SELECT doc_id, count(*) n_near FROM close ANTI JOIN exact USING (doc_id, item) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near_items
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """,
     "op10_line_dedup": """
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) x, generate_subscripts(string_split(text, chr(10)), 1) i

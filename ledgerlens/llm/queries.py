@@ -67,13 +67,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     found = decontam.decontaminate(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"))
-
-
-def op7_benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The proximity matches, which the SQL of op7_benchmark_decontamination doesn't name."""
-    found = decontam.decontaminate(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_items", "n_near_items")
+                        (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +119,6 @@ QUERIES = {
     "op5_quality_pu": op5_quality_pu,
     "op6_quality_lines": op6_quality_lines,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
-    "op7_benchmark_proximity": op7_benchmark_proximity,
     "op8_toxicity": op8_toxicity,
     "op9_language_id": op9_language_id,
     "op10_line_dedup": op10_line_dedup,
