@@ -19,7 +19,10 @@ questionnaire      documents (pages by \\f)     documents
 =================  ==========================  ============================
 
 Every expression is row-local; the only joins are with the two small
-TPC-H dimensions (supplier, nation).  The same rules are restated in SQL in
+TPC-H dimensions (supplier, nation).  The source system lands many files; the
+test tables are one row group each. So the fixtures that render text (protocols,
+hits, pages, survey answers) first deal the few narrow columns they need to
+``RENDER_TASKS`` tasks by key, always; a larger table takes a larger number.  The same rules are restated in SQL in
 :mod:`ledgerlens.plans.oracle` so an independent engine can check results.
 """
 
@@ -40,6 +43,13 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+RENDER_TASKS = 32
+
+
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    return df.repartition(RENDER_TASKS, key)
+
+
 class Tables:
     """Lazy access to the driver's parquet tables of one scale factor."""
 
@@ -143,7 +153,7 @@ def protocol_text(t: Tables) -> DataFrame:
     ``JA:`` every 11th, a non-number yes count every 19th, and the tie-breaker
     is a name, the city footer on the next line, or absent.
     """
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority")
+    o = _dealt(t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"), "o_orderkey")
     k = F.col("o_orderkey")
     nbsp = "\u00a0"  # no-break space
     number = F.when(k % 50 == 0, F.lit("Geschäfts#: offen")).otherwise(
@@ -183,7 +193,7 @@ def votes(t: Tables, names: Sequence[str] | None = None) -> DataFrame:
 def raw_businesses(t: Tables) -> DataFrame:
     """Flattened business items: ``dateiname, grnr, titel, pdf_files, geschaeftsart``.
     Every 50th number is empty and every 51st missing."""
-    o = t.orders
+    o = _dealt(t.orders.select("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"), "o_orderkey")
     k = F.col("o_orderkey")
     grnr = (F.when(k % 50 == 0, F.lit(""))
              .when(k % 51 == 0, F.lit(None).cast("string"))
@@ -200,10 +210,18 @@ def raw_businesses(t: Tables) -> DataFrame:
                     files.alias("pdf_files"), kinds.alias("geschaeftsart"))
 
 
+def departments(k: Column) -> tuple[Column, Column]:
+    """The leading departments of order ``k`` (none for every fourth, else one)
+    and the involved ones (none, one or two)."""
+    name = lambda n: F.concat(F.lit("Departement "), _n(n % 9))
+    return (F.when(k % 4 != 0, F.array(name(k))).otherwise(F.array().cast("array<string>")),
+            F.slice(F.array(name(k + 1), name(k + 2)), 1, (k % 3).cast("int")))
+
+
 def business_pages(t: Tables) -> DataFrame:
     """The rows of ``raw_businesses`` as landed search pages, one hit a page:
-    ``(dateiname, page)``.  One business type is written as a text, several as a
-    list; every other page writes its only task as an object, the others as a list."""
+    ``(dateiname, page)``.  One business type or department is written as a text,
+    several as a list; every other page writes its only task as an object, the others as a list."""
     b = raw_businesses(t)
     quoted = F.transform("geschaeftsart", lambda x: F.concat(F.lit('"'), x, F.lit('"')))
     kinds = F.when(F.size("geschaeftsart") == 1, quoted[0]).otherwise(
@@ -212,10 +230,17 @@ def business_pages(t: Tables) -> DataFrame:
     task = F.concat(F.lit('{"Dokumente": {"Dokument": [{"Titel": "Antrag"}, {"Titel": "'), f["titel"],
                     F.lit('", "File": {"@ID": "'), f["file_id"], F.lit('"}}]}}'))
     task = F.when(F.crc32(f["file_id"].cast("binary")) % 2 == 0, task).otherwise(F.concat(F.lit("["), task, F.lit("]")))
+    def department(element, names):
+        quoted = F.transform(names, lambda x: F.concat(F.lit('"'), x, F.lit('"')))
+        value = F.when(F.size(names) == 1, quoted[0]).otherwise(F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]")))
+        return F.when(F.size(names) > 0, F.concat(F.lit(f'"{element}": {{"Departement": '), value, F.lit("}, "))).otherwise(F.lit(""))
+
+    leading, involved = departments(F.substring(f["file_id"], 2, 20).cast("bigint"))
     page = F.concat(
         F.lit('{"SearchDetailResponse": {"@numHits": "1", "Hit": [{"Geschaeft": {'),
         F.coalesce(F.concat(F.lit('"GRNr": "'), "grnr", F.lit('", ')), F.lit("")),
         F.coalesce(F.concat(F.lit('"Geschaeftsart": '), kinds, F.lit(", ")), F.lit("")),
+        department("FederfuehrendesDepartement", leading), department("MitbeteiligteDepartemente", involved),
         F.lit('"Titel": "'), "titel", F.lit('", "Ablaufschritte": {"Aufgabe": '), task, F.lit("}}}]}}"))
     return b.select("dateiname", page.alias("page"))
 
@@ -240,9 +265,9 @@ def hits_xml(t: Tables) -> DataFrame:
     document ``d`` of task ``a`` is a final vote when key+a+d is even, has no
     file when key+a*d is a multiple of 4 and a file without ID when key+d is
     a multiple of 11.  Every 50th order has no business number, every 9th no
-    title.
+    title; departments as :func:`departments` says, without any the branch is missing.
     """
-    o = t.orders.select("o_orderkey", "o_orderdate")
+    o = _dealt(t.orders.select("o_orderkey", "o_orderdate"), "o_orderkey")
     k = F.col("o_orderkey")
     tasks = F.transform(
         F.sequence(F.lit(1).cast("bigint"), (k % 3 + 1)),
@@ -254,10 +279,17 @@ def hits_xml(t: Tables) -> DataFrame:
     grnr = F.when(k % 50 != 0, F.concat(F.lit("<GRNr>"), _n(F.year("o_orderdate")), F.lit("/"), _n(k),
                                         F.lit("</GRNr>"))).otherwise(F.lit(""))
     title = F.when(k % 9 != 0, F.concat(F.lit("<Titel>Geschäft "), _n(k), F.lit("</Titel>"))).otherwise(F.lit(""))
+
+    def branch(element, names):
+        each = F.transform(names, lambda x: F.concat(F.lit("<Departement>"), x, F.lit("</Departement>")))
+        return F.when(F.size(names) > 0, F.concat(F.lit(f"<{element}>"), F.array_join(each, ""), F.lit(f"</{element}>"))).otherwise(F.lit(""))
+
+    leading, involved = departments(k)
     xml = F.concat(
         F.lit('<Hit xmlns="http://example.org/searchDetailResponse">'
               '<Geschaeft xmlns="http://example.org/Geschaeft">'),
-        grnr, title, F.lit("<Ablaufschritte>"), F.array_join(tasks, ""),
+        grnr, title, branch("FederfuehrendesDepartement", leading), branch("MitbeteiligteDepartemente", involved),
+        F.lit("<Ablaufschritte>"), F.array_join(tasks, ""),
         F.lit("</Ablaufschritte></Geschaeft></Hit>"))
     return o.select(k.alias("o_orderkey"), F.year("o_orderdate").cast("int").alias("year_source"),
                     xml.alias("xml"))
@@ -279,7 +311,7 @@ def answer_label_sql(n: str) -> str:
 
 
 def raw_survey(t: Tables) -> DataFrame:
-    return raw_survey_from_events(t.events.select("event_id", "user_id", "event_type", "value"))
+    return raw_survey_from_events(_dealt(t.events.select("event_id", "user_id", "event_type", "value"), "event_id"))
 
 
 def raw_survey_from_events(e: DataFrame) -> DataFrame:

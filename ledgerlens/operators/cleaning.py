@@ -103,31 +103,58 @@ def clean_and_check(name: str, raw: DataFrame, *, on_fail: str = "report",
 
 def run_clean_job(name: str, raw: DataFrame, path: str, *, table: str | None = None,
                   partition_by=(), on_fail: str = "report", results_path: str | None = None,
-                  run_id: str = "manual") -> DataFrame:
-    """A complete clean job: clean -> quality check -> write, in one pass.
-
-    The non-distinct metrics are observed while the clean table is written
-    (no second scan of the raw data); distinct counts are then computed from
-    the written table, reading only the key column.  With ``on_fail="error"``
-    the data is checked first (one extra aggregate pass) and nothing is
-    written when a rule fails.  Returns the report.
+                  run_id: str = "manual", sketches_path: str | None = None) -> DataFrame:
+    """A complete clean job: clean -> quality check -> write; returns the report.
+
+    The job may run again and again on the same ``path``. With ``partition_by``
+    a run replaces the partitions it has rows of and leaves all others; without,
+    it replaces the table. All metrics are about the run's own rows.
+
+    ``on_fail="report"``: one pass; the non-distinct metrics and the partitions
+    touched are observed by the write itself, distinct counts then read the key
+    column of those partitions only.  ``on_fail="error"``: the rows are staged in
+    the shared scratch folder and checked there; nothing is committed when a
+    rule fails, else the stage is what is written (the raw data is parsed once).
+
+    ``results_path``: the table of reports, keyed by job and ``run_id`` (a run
+    with the same id replaces its rows).  ``sketches_path``: the table of
+    distinct-count sketches, keyed by the partitions (:mod:`.sketches`).
     """
-    from ..sources.writers import write_clean
+    from ..session import scratch_path
+    from ..sources.writers import rebalanced, write_clean
 
     fn, rules = CLEAN_JOBS[name]
+    spark = raw.sparkSession
     clean = fn(raw)
-    if on_fail == "error":
-        quality.evaluate(clean, rules, on_fail="error")
-    observed, obs, deferred = quality.observe_rules(clean, rules, name=f"dq_{name}")
-    write_clean(observed, path, partition_by=partition_by, table=table)
-    report = quality.report_from_observation(raw.sparkSession, clean.columns, rules, obs)
+    if on_fail not in ("report", "error"):
+        raise ValueError("on_fail must be 'report' or 'error'")
+    staged = on_fail == "error"
+    keys = list(partition_by)
+    observed, obs, deferred = quality.observe_rules(clean if staged else rebalanced(clean, keys), rules, name=f"dq_{name}",
+                                                    partitions=() if staged else keys)
+    if staged:
+        stage = scratch_path(spark, f"stage-{name}")
+        observed.write.parquet(stage)
+        run_rows = spark.read.schema(clean.schema).parquet(stage)
+    else:
+        write_clean(observed, path, partition_by=keys, table=table, rebalance=False)
+        run_rows = quality.restrict(spark.read.schema(clean.schema).parquet(path), keys, obs)
+    report = quality.report_from_observation(spark, clean.columns, rules, obs)
     if deferred:
-        written = raw.sparkSession.read.parquet(path)
         full = quality._flat(rules)
-        extra = quality.evaluate(written, deferred)
+        extra = quality.evaluate(run_rows, deferred)
         numbers = {r.describe(): full.index(r) + 1 for r in deferred}
         mapping = F.create_map(*[x for k, v in numbers.items() for x in (F.lit(k), F.lit(v))])
         report = report.unionByName(extra.withColumn("rule_no", mapping[F.col("rule")]))
+    # one row a rule: fixed here, so that a later run on the path changes nothing in it
+    report = spark.createDataFrame(report.collect(), report.schema)
     if results_path:
         quality.publish_report(report, results_path, context=name, run_id=run_id)
+    if staged:
+        quality.raise_failed(report)
+        write_clean(run_rows, path, partition_by=keys, table=table)
+    if sketches_path:
+        from .sketches import write_sketches
+        columns = [r.column for r in deferred if r.column in clean.columns]
+        write_sketches(run_rows, sketches_path, columns, keys)
     return report

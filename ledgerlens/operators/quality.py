@@ -176,21 +176,42 @@ def evaluate(df: DataFrame, rules, *, on_fail: str = "report", approx: bool = Fa
         ))
     report = metrics.select(F.inline(F.array(*rows)))
     if on_fail == "error":
-        failed = [row["rule"] for row in report.filter("outcome = 'Failed'").collect()]
-        if failed:
-            raise DataQualityError("data-quality rules failed: " + "; ".join(failed))
+        raise_failed(report)
     elif on_fail != "report":
         raise ValueError("on_fail must be 'report' or 'error'")
     return report
 
 
-def observe_rules(df: DataFrame, rules, name: str = "dq"):
-    """Attach the non-distinct rule metrics to ``df`` as an observation.
+def raise_failed(report: DataFrame) -> None:
+    failed = [row["rule"] for row in report.filter("outcome = 'Failed'").collect()]
+    if failed:
+        raise DataQualityError("data-quality rules failed: " + "; ".join(failed))
+
+
+def restrict(df: DataFrame, keys, observation) -> DataFrame:
+    """The rows of ``df`` in the partitions that the observed run touched (their
+    values are bounded by the directories written; partition filters, so other
+    partitions are not read)."""
+    if not keys:
+        return df
+    touched = (observation.get["touched"] if observation is not None else None) or ""
+    return df.filter(_partition(keys).isin(touched.split("\n")))
+
+
+def _partition(keys) -> Column:
+    """The partition that a row is written to, as text (an empty text is written as null)."""
+    return F.to_json(F.struct(*[F.nullif(_c(k).cast("string"), F.lit("")).alias(f"k{i}") for i, k in enumerate(keys)]))
+
+
+def observe_rules(df: DataFrame, rules, name: str = "dq", partitions=()):
+    """Attach the non-distinct rule metrics to ``df`` as an observation, and with
+    ``partitions`` the distinct values of these columns.
 
     The metrics are then computed by whatever action runs next (typically the
     write of the clean table) in the same pass over the data, instead of a
     second scan.  Returns ``(observed_df, observation, deferred_rules)``;
     distinct-count rules cannot be observed and are returned as deferred.
+    Where nothing is observed the observation is None.
     """
     from pyspark.sql import Observation
 
@@ -208,15 +229,20 @@ def observe_rules(df: DataFrame, rules, name: str = "dq"):
             continue
         else:
             aggs.append(r.metric(df, False).alias(f"m{i}"))
-    observed = df.observe(obs, *aggs) if aggs else df
-    return observed, obs, deferred
+    if partitions:
+        # as one text (JSON has no raw line breaks): an observation has no arrays
+        aggs.append(F.array_join(F.collect_set(_partition(partitions)), "\n").alias("touched"))
+    if not aggs:
+        return df, None, deferred
+    return df.observe(obs, *aggs), obs, deferred
 
 
 def report_from_observation(spark, df_columns: list[str], rules, observation) -> DataFrame:
     """Report rows (same shape as :func:`evaluate`) from an observation that
-    has been filled by an action; distinct-count rows are left out."""
+    has been filled by an action (None: nothing was observed); distinct-count
+    rows are left out."""
     rules = _flat(rules)
-    values = observation.get
+    values = observation.get if observation is not None else {}
     rows = []
     for i, r in enumerate(rules):
         if isinstance(r, DistinctCount):
@@ -229,21 +255,21 @@ def report_from_observation(spark, df_columns: list[str], rules, observation) ->
         rows.append((i + 1, r.describe(), getattr(r, "column", None), m, r.threshold))
     schema = "rule_no int, rule string, column string, metric double, threshold double"
     base = spark.createDataFrame(rows, schema)
-    passed = None
+    passed = F.lit(False)
     for i, r in enumerate(rules):
-        if isinstance(r, DistinctCount):
-            continue
-        cond = (F.col("rule_no") == i + 1) & F.coalesce(r.passed(F.col("metric")), F.lit(False))
-        passed = cond if passed is None else passed | cond
+        if not isinstance(r, DistinctCount):
+            passed = passed | ((F.col("rule_no") == i + 1) & F.coalesce(r.passed(F.col("metric")), F.lit(False)))
     return base.withColumn("outcome", F.when(passed, "Passed").otherwise("Failed"))
 
 
 def publish_report(report: DataFrame, path: str, *, context: str, run_id: str) -> bool:
-    """Append a report to the shared results table, best effort: a failure to
-    publish is logged and never fails the job.  Returns True when written."""
+    """Put a report into the shared results table, which is keyed by ``context``
+    and ``run_id``: publishing a run again replaces its rows, other runs stay.
+    Best effort: a failure is logged and never fails the job. True when written."""
     try:
         (report.withColumn("context", F.lit(context)).withColumn("run_id", F.lit(run_id))
-               .write.mode("append").parquet(path))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("context", "run_id").parquet(path))
         return True
     except Exception as e:  # noqa: BLE001 - publishing must not break the job
         import logging
@@ -251,6 +277,13 @@ def publish_report(report: DataFrame, path: str, *, context: str, run_id: str) -
         return False
 
 
+def read_results(spark, path: str) -> DataFrame:
+    """The results table: ``(rule_no, rule, column, metric, threshold, outcome, context, run_id)``."""
+    schema = ("rule_no int, rule string, column string, metric double, threshold double, outcome string, "
+              "context string, run_id string")
+    return spark.read.schema(schema).parquet(path)
+
+
 # ---------------------------------------------------------------------------
 # Rule sets of the six clean tables.
 # ---------------------------------------------------------------------------

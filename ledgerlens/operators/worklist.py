@@ -12,6 +12,8 @@ against distinct fact keys, de-duplicated map-side before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,6 +110,33 @@ def items_to_json(items: DataFrame) -> DataFrame:
     return items.select(F.to_json(F.struct("grnr", "titel", "pdf_files", "year_source")).alias("body"))
 
 
+def department_bridge(items: DataFrame, *, grnr: str = "grnr", leading: str = "federfuehrend",
+                      involved: str = "mitbeteiligt") -> DataFrame:
+    """``(grnr, role, department)``: one row for each department of a business,
+    ``leading`` or ``involved``, from the department lists of
+    :func:`business_items` (JSON) or :func:`hit_businesses` (XML). Blank names
+    and repeated ones count once or not at all; a business without a department
+    has no row, nor has one without number."""
+    def role(name, column):
+        names = F.array_distinct(F.filter(F.col(column), lambda d: _present(F.trim(d))))
+        return F.transform(names, lambda d: F.struct(F.lit(name).alias("role"), d.alias("department")))
+
+    return (items.filter(_present(F.col(grnr)))
+            .select(F.col(grnr).alias("grnr"), F.inline(F.concat(role("leading", leading), role("involved", involved)))))
+
+
+def hit_businesses(hits: DataFrame, *, hit: str = "hit") -> DataFrame:
+    """``(grnr, federfuehrend, mitbeteiligt)`` of every hit: its department lists,
+    empty where a branch is missing, one name or many alike."""
+    g = F.col(f"{hit}.Geschaeft")
+    none = F.array().cast("array<string>")
+    item = F.struct(g["GRNr"].alias("grnr"),
+                    F.coalesce(g["FederfuehrendesDepartement"]["Departement"], none).alias("federfuehrend"),
+                    F.coalesce(g["MitbeteiligteDepartemente"]["Departement"], none).alias("mitbeteiligt"))
+    # As above: a later filter stays above the parse.
+    return hits.select(F.inline(F.array(item)))
+
+
 # A landed search page: the root element's name, then the hits. Elements that
 # the page writes as one object or as a list, by their number, are kept as
 # JSON text and made lists by _listed.
@@ -191,51 +220,81 @@ def coverage_gaps(grid: DataFrame, facts: DataFrame, keys: Sequence[str]) -> Dat
     return grid.join(distinct_keys(facts, keys), list(keys), "left_anti")
 
 
-def missing_combinations(facts: DataFrame, entity: str, dims: dict[str, Sequence],
+@dataclass(frozen=True)
+class Days:
+    """A grid dimension: every day from ``lo`` to ``hi``, given as dates or as
+    columns of one value (scalar subqueries); nothing if either is null."""
+    lo: Column | date
+    hi: Column | date
+
+
+@dataclass(frozen=True)
+class Values:
+    """A grid dimension: the values of a list, or of an array column of one value."""
+    values: Sequence | Column
+
+
+def missing_combinations(facts: DataFrame, entity: str, dims: dict[str, Days | Values | Sequence],
                          entities: DataFrame | None = None) -> DataFrame:
     """Coverage gaps without materialising the grid: for every entity, the
-    combinations of the parameter lists ``dims`` (e.g. years x amount types)
-    for which no fact row exists.
-
-    Every combination has a number; each fact row sets its combination's bit
-    in a few 64-bit words, OR-ed together per entity (``bit_or``: a plain hash
-    aggregate, combined map-side, so a hot entity ships one row per task).
-    The state per entity is bounded by the grid size, a parameter.  The
-    missing combinations are then generated row-locally from the unset bits;
-    only one small row per entity and task crosses the network, and the grid
-    itself is never shuffled.  ``entities`` (one column named ``entity``)
-    adds entities without any fact.
+    combinations of ``dims`` (e.g. days x types) for which no fact row exists.
+
+    Every combination has a number, computed from its values (a day by its
+    distance, a value by its place in the list). The numbers of an entity's
+    facts are kept as sparse bitmaps: a row (entity, bucket) with a 64-bit word,
+    OR-ed map-side, so a hot entity ships at most one row per bucket and task,
+    and a bucket without facts is no row. The missing combinations are then
+    generated row-locally from the unset bits of all buckets. The plan is the
+    same for any grid; the grid itself is never shuffled.  A fact outside the
+    grid (or with a null dimension) covers nothing, but its entity is there.
+    ``entities`` (one column named ``entity``) adds entities without any fact.
     """
+    dims = {n: d if isinstance(d, (Days, Values)) else Values(d) for n, d in dims.items()}
     names = list(dims)
-    sizes = [len(dims[n]) for n in names]
-    strides = [1] * len(names)
-    for i in range(len(names) - 2, -1, -1):
-        strides[i] = strides[i + 1] * sizes[i + 1]
-    total = strides[0] * sizes[0] if names else 0
-    n_words = (total + 63) // 64
-    lits = {n: F.array(*[F.lit(v) for v in dims[n]]) for n in names}
-
-    pos = {n: F.array_position(lits[n], F.col(n)).cast("long") - 1 for n in names}
-    in_grid = None
-    idx = F.lit(0).cast("long")
-    for n, stride in zip(names, strides):
-        ok = pos[n] >= 0
-        in_grid = ok if in_grid is None else in_grid & ok
-        idx = idx + pos[n] * stride
-    words = [F.expr(f"bit_or(CASE WHEN _idx DIV 64 = {k} THEN shiftleft(1L, CAST(_idx % 64 AS INT)) END)")
-             .alias(f"_w{k}") for k in range(n_words)]
-    # a fact outside the grid (or with a null dimension) sets no bit, but keeps its entity
-    have = (facts.select(F.col(entity), F.when(in_grid, idx).alias("_idx"))
-            .groupBy(entity).agg(*words))
+    start, size = {}, {}
+    for n, d in dims.items():
+        if isinstance(d, Days):
+            lo, hi = (x if isinstance(x, Column) else F.lit(x) for x in (d.lo, d.hi))
+            start[n], size[n] = lo, F.coalesce(F.greatest(F.datediff(hi, lo) + 1, F.lit(0)), F.lit(0)).cast("long")
+        else:
+            start[n] = d.values if isinstance(d.values, Column) else F.array(*[F.lit(v) for v in d.values])
+            size[n] = F.coalesce(F.size(start[n]), F.lit(0)).cast("long")
+
+    def grid(df):
+        """``df`` with the starts and sizes of the dimensions, the same in every row."""
+        return df.select("*", *[c.alias(f"_{k}_{n}") for n in names for k, c in (("start", start[n]), ("size", size[n]))])
+
+    g = grid(facts.select(entity, *names))
+    ok, idx = F.lit(True), F.lit(0).cast("long")
+    for n, d in dims.items():
+        begin = F.col(f"_start_{n}")
+        at = (F.datediff(F.col(n), begin) if isinstance(d, Days) else F.array_position(begin, F.col(n)) - 1).cast("long")
+        ok = ok & (at >= 0) & (at < F.col(f"_size_{n}"))
+        idx = idx * F.col(f"_size_{n}") + at
+    g = g.select(entity, F.when(ok, idx).alias("_i"))
+    words = (g.groupBy(entity, F.expr("_i DIV 64").alias("_bucket"))
+             .agg(F.expr("bit_or(shiftleft(1L, CAST(_i % 64 AS INT)))").alias("_word")))
+    have = words.groupBy(entity).agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("_bucket").isNotNull(), F.struct("_bucket", "_word")))).alias("_words"))
     if entities is not None:
         have = entities.select(entity).distinct().join(have, entity, "left")
-    bits = F.array(*[F.coalesce(F.col(f"_w{k}"), F.lit(0).cast("long")) for k in range(n_words)])
-    cand = have.select(entity, bits.alias("_bits"),
-                       F.explode(F.sequence(F.lit(0).cast("long"), F.lit(total - 1).cast("long"))).alias("_i"))
-    unset = F.expr("shiftright(element_at(_bits, CAST(_i DIV 64 + 1 AS INT)), CAST(_i % 64 AS INT)) & 1L") == 0
-    return cand.filter(unset).select(
-        entity, *[F.element_at(lits[n], (F.floor(F.col("_i") / stride) % size + 1).cast("int")).alias(n)
-                  for n, stride, size in zip(names, strides, sizes)])
+    have = grid(have)
+    total = F.lit(1).cast("long")
+    for n in names:
+        total = total * F.col(f"_size_{n}")
+    have = have.withColumn("_total", total).filter("_total > 0")
+    buckets = have.withColumn("_bucket", F.explode(F.expr("sequence(0L, (_total - 1) DIV 64)")))
+    buckets = buckets.withColumn("_word", F.coalesce(F.try_element_at("_words", F.col("_bucket")), F.lit(0).cast("long"))).drop("_words")
+    unset = F.expr("filter(sequence(_bucket * 64, least(_bucket * 64 + 63, _total - 1)), "
+                   "i -> shiftright(_word, CAST(i % 64 AS INT)) & 1L = 0)")
+    out = buckets.withColumn("_i", F.explode(unset))
+    stride, values = F.lit(1).cast("long"), {}
+    for n in reversed(names):
+        place = (F.floor(F.col("_i") / stride) % F.col(f"_size_{n}")).cast("int")
+        begin = F.col(f"_start_{n}")
+        values[n] = F.date_add(begin, place) if isinstance(dims[n], Days) else F.element_at(begin, place + 1)
+        stride = stride * F.col(f"_size_{n}")
+    return out.select(entity, *[values[n].alias(n) for n in names])
 
 
 def pending(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ in :mod:`ledgerlens.plans.oracle`.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,17 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from .. import bindings as B
 from ..functions.dates import daily_window, in_window, ts_literal
-from ..operators import cleaning, quality
+from ..operators import cleaning, landing, quality, sketches
 from ..operators.extract import extract_protocol, extract_questions, questions_per_year, run_counters
 from ..operators.worklist import (
+    Days,
+    Values,
     business_items,
+    department_bridge,
     document_items,
     final_vote_documents,
     final_vote_items,
+    hit_businesses,
     items_to_json,
     missing_combinations,
     number_documents,
@@ -31,10 +36,11 @@ from ..operators.worklist import (
     rejected_hits,
     work_grid,
 )
-from ..schemas import VOTE_ITEM
+from ..schemas import SPENDING_RECORD, VOTE_ITEM
 from ..session import apply_defaults, scratch_path
 from ..sources import readers, writers
 from ..streaming.incremental import read_sink, run_incremental
+from . import catalog_views
 from . import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +51,9 @@ WINDOW_DAYS = ("2024-01-10", "2024-01-12")
 WINDOW_TYPES = ("purchase", "signup")
 DAILY_NOW = _dt.datetime(2024, 1, 11, 6, 0, 0)
 SURVEY_YEAR_OFFSET = -23
+LANDING_YEAR = 1998  # clean_job_reruns: the years before it land first
+DEDUP_DELAY = "1 day"  # incremental_dedup: what is delivered again
+STREAM_TASKS = 32  # the test events are one row group
 MANIFEST_SUFFIX = ".html"
 # What the decisions view and the run counters need of a protocol.
 DECISION_FIELDS = ("Geschäftsnummer",)
@@ -236,14 +245,12 @@ def q_work_grid(spark, sf):
     """Years: those of the orders, first to last."""
     t = _t(spark, sf)
     s = t.supplier.select(F.col("s_suppkey").cast("string").alias("institution"))
-    y = t.orders.agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi")).first()
-    return work_grid(s, [] if y.lo is None else list(range(y.lo, y.hi + 1)))
+    year = F.year("o_orderdate")
+    return work_grid(s, F.sequence(t.orders.agg(F.min(year)).scalar(), t.orders.agg(F.max(year)).scalar()))
 
 
-def _gaps(facts, lo, hi, types):
-    days = [lo + _dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
-    return missing_combinations(facts, "user_id", {"day": days, "event_type": list(types)}) \
-        .select("user_id", "event_type", "day")
+def _gaps(facts, days, types):
+    return missing_combinations(facts, "user_id", {"day": days, "event_type": types}).select("user_id", "event_type", "day")
 
 
 def _event_facts(spark, sf):
@@ -252,26 +259,50 @@ def _event_facts(spark, sf):
 
 def q_coverage_gaps(spark, sf):
     """The grid: all days from the first event to the last, and all event types
-    (the parameter lists of the work, one small aggregate)."""
+    (scalar subqueries of the plan, one small aggregate)."""
     facts = _event_facts(spark, sf)
-    b = facts.agg(F.min("day").alias("lo"), F.max("day").alias("hi"),
-                  F.array_sort(F.collect_set("event_type")).alias("types")).first()
-    if b.lo is None or not b.types:
-        return facts.select("user_id", "event_type", "day").filter(F.lit(False))
-    return _gaps(facts, b.lo, b.hi, b.types)
+    types = F.array_sort(F.collect_set("event_type"))
+    return _gaps(facts, Days(facts.agg(F.min("day")).scalar(), facts.agg(F.max("day")).scalar()),
+                 Values(facts.agg(types).scalar()))
 
 
 def q_coverage_gaps_window(spark, sf):
     """A grid narrower than the data: users without an event in it have all its combinations open."""
     lo, hi = (_dt.date.fromisoformat(d) for d in WINDOW_DAYS)
-    return _gaps(_event_facts(spark, sf), lo, hi, WINDOW_TYPES)
+    return _gaps(_event_facts(spark, sf), Days(lo, hi), Values(WINDOW_TYPES))
+
+
+def q_department_bridge(spark, sf):
+    """The departments of the hits' XML trees: one, many or a missing branch."""
+    return department_bridge(hit_businesses(B.hits(_t(spark, sf))))
+
+
+def q_department_bridge_pages(spark, sf):
+    """The same from landed JSON pages, where one name is a text and many are a list."""
+    return department_bridge(business_items(B.business_pages(_t(spark, sf))))
+
+
+def _cut_hits(t):
+    """Every 50th hit is cut off before its end."""
+    whole = F.col("xml")
+    cut = F.when(F.col("o_orderkey") % 50 == 0, whole.substr(F.lit(1), F.length(whole) - 20)).otherwise(whole)
+    return B.hits_xml(t).withColumn("xml", cut)
+
+
+def q_hits_landing(spark, sf):
+    """Hits parsed once and landed by outcome: the documents of the good ones, the keys of the rejected."""
+    p = scratch_path(spark, "hits_landing")
+    _, schema = landing.land_hits(_cut_hits(_t(spark, sf)), p, keep=("o_orderkey",))
+    hits = landing.good(spark, p, schema).withColumnRenamed("parsed", "hit")
+    files = final_vote_documents(final_vote_items(hits)).select(F.lit("good").alias("status"), "grnr", "file_id")
+    bad = landing.rejects(spark, p, schema).filter(F.length("raw") > 0)
+    return files.unionByName(bad.select(F.lit("rejected").alias("status"), F.col("o_orderkey").cast("string").alias("grnr"),
+                                        F.lit(None).cast("string").alias("file_id")))
 
 
 def q_hits_rejects(spark, sf):
     """Every 50th hit is cut off before its end; all of those are reported, with their raw text's length."""
-    h = B.hits_xml(_t(spark, sf))
-    whole = F.col("xml")
-    cut = h.withColumn("xml", F.when(F.col("o_orderkey") % 50 == 0, whole.substr(F.lit(1), F.length(whole) - 20)).otherwise(whole))
+    cut = _cut_hits(_t(spark, sf))
     return rejected_hits(cut).select("o_orderkey", (F.length("_corrupt_record") > 0).alias("has_raw"))
 
 
@@ -354,14 +385,103 @@ def q_envelope_rejects(spark, sf):
     return bad.select(F.regexp_extract("raw", r'"nr":(\d+)', 1).cast("bigint").alias("first_nr"))
 
 
+def _land_envelopes(spark, sf):
+    p = scratch_path(spark, "envelope_landing")
+    return (p, *landing.land_envelopes(spark, _envelopes(spark, sf), ENVELOPE_RECORD, p, multiline=False))
+
+
+def q_envelope_landing(spark, sf):
+    """Envelopes parsed once and landed by outcome: the records of the good, the first number of the rejected."""
+    p, _, schema = _land_envelopes(spark, sf)
+    bad = landing.rejects(spark, p, schema).select(
+        F.lit("rejected").alias("status"), F.regexp_extract("raw", r'"nr":(\d+)', 1).cast("bigint").alias("nr"),
+        F.lit(None).cast("string").alias("titel"))
+    return landing.envelope_records(spark, p, schema).select(F.lit("good").alias("status"), "nr", "titel").unionByName(bad)
+
+
+def q_landing_counters(spark, sf):
+    """The counters that the landing's own write observed."""
+    _, n, _ = _land_envelopes(spark, sf)
+    return spark.createDataFrame([(n.read, n.good, n.rejected)], "n_read long, n_good long, n_rejected long")
+
+
+def _fresh(name: str) -> str:
+    return f"ledgerlens_{name}_{uuid.uuid4().hex[:8]}"
+
+
 def q_clean_table_catalog(spark, sf):
     """The clean institutions as a catalog table, read by its name."""
-    name = "ledgerlens_clean_institutions"
+    name = _fresh("clean_institutions")
     writers.write_clean(cleaning.clean_institutions(B.raw_institutions(_t(spark, sf))),
                         scratch_path(spark, "clean_institutions"), table=name)
     return readers.read_table(spark, name)
 
 
+def _catalog_view(view: str, **tables) -> Query:
+    """Clean tables are saved to the catalogue, the views published over them,
+    and one is read in a second session."""
+    def q(spark, sf):
+        t = _t(spark, sf)
+        names = {}
+        for kind, make in tables.items():
+            names[kind] = _fresh(kind)
+            writers.write_clean(make(t), scratch_path(spark, kind), table=names[kind])
+        published = catalog_views.publish_views(spark, **names, prefix=_fresh("v") + "_")
+        return readers.read_table(spark.newSession(), published[view])
+    return q
+
+
+def q_clean_job_reruns(spark, sf):
+    """The spending job on one path, three times: the early years, the late ones,
+    the early ones again. Each report is about its own rows, all years are there once."""
+    t = _t(spark, sf)
+    raw, p = B.raw_spending(t), scratch_path(spark, "spending_reruns")
+    early = F.coalesce(F.col("jahr") < LANDING_YEAR, F.lit(True))
+    out = None
+    for run, part in enumerate((early, ~early, early), 1):
+        report = cleaning.run_clean_job("spending", raw.filter(part), p, partition_by=["jahr"], results_path=p + "_results",
+                                        run_id="late" if run == 2 else "early")
+        rows = report.select(F.lit(f"run {run}").alias("what"), "rule", "metric", "outcome")
+        out = rows if out is None else out.unionByName(rows)
+    table = cleaning.clean_spending(raw).schema
+    years = spark.read.schema(table).parquet(p).groupBy("jahr").agg(F.count("*").cast("double").alias("metric"))
+    results = quality.read_results(spark, p + "_results").groupBy("run_id").agg(F.count("*").cast("double").alias("metric"))
+    none = F.lit(None).cast("string").alias("outcome")
+    return (out.unionByName(years.select(F.lit("rows of a year").alias("what"), F.col("jahr").cast("string").alias("rule"), "metric", none))
+            .unionByName(results.select(F.lit("results of a run").alias("what"), F.col("run_id").alias("rule"), "metric", none)))
+
+
+def q_distinct_sketches(spark, sf):
+    """Sketches stored for each event type, united: within the documented error of the exact counts."""
+    e = _t(spark, sf).events
+    p = scratch_path(spark, "event_sketches")
+    columns = ["event_id", "user_id"]
+    sketches.write_sketches(e, p, columns, ["event_type"])
+    found = sketches.distinct_counts(sketches.read_sketches(spark, p, ["event_type"]))
+    exact = e.agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "column", "n_exact")
+    off = F.abs(F.col("distinct_values") - F.col("n_exact")) / F.greatest("n_exact", F.lit(1))
+    return found.join(exact, "column").select("column", "n_rows", "n_exact", (off <= sketches.error()).alias("within"))
+
+
+def q_spending_tree_json(spark, sf):
+    """The spending tree as landed: an envelope a file below institution=/jahr=/betragstyp=, of
+    records that lack what the path says; keys stay text (0010)."""
+    t = _t(spark, sf)
+    per_key = B.spending(t).groupBy(F.lpad("institution", 6, "0").alias("institution"), "jahr", "betragstyp", "sachkonto").agg(
+        V.money_sum("betrag").alias("betrag"))
+    records = per_key.groupBy("institution", "jahr", "betragstyp").agg(
+        F.collect_list(F.struct(F.col("betrag").cast("string").alias("betrag"), "sachkonto")).alias("value"))
+    p = scratch_path(spark, "spending_tree")
+    # one directory a key would be one a row here: institutions share them by their last digit
+    tree = records.select(F.right("institution", F.lit(1)).alias("gruppe"), "jahr", "betragstyp",
+                          F.transform("value", lambda r: F.struct(r["betrag"].alias("betrag"), r["sachkonto"].alias("sachkonto"),
+                                                                  F.col("institution").alias("institution"))).alias("value"))
+    writers.write_partitioned(tree.withColumn("gruppe", F.concat(F.lit("0"), "gruppe")), p, ["gruppe", "jahr", "betragstyp"])
+    back = readers.read_partitioned_json(spark, p, SPENDING_RECORD, multiline=False)
+    return back.select("gruppe", "institution", F.col("jahr").cast("int").alias("jahr"), "betragstyp", "sachkonto",
+                       F.col("betrag").cast("double").alias("betrag"))
+
+
 def q_append_pending_rerun(spark, sf):
     """Part of the work lands first, then all of it, then all of it again: each item is there once."""
     work = _t(spark, sf).orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
@@ -391,7 +511,7 @@ def q_trends_for_reader(spark, sf):
 def q_incremental_landings(spark, sf):
     """Two landings, a run after each: the second run cleans the new files only."""
     events = _t(spark, sf).events
-    landing = scratch_path(spark, "events_landing")
+    landed = scratch_path(spark, "events_landing")
     sink = scratch_path(spark, "survey_landings")
 
     def clean(e):
@@ -399,8 +519,8 @@ def q_incremental_landings(spark, sf):
 
     early = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
     for part in (early, ~early):
-        events.filter(part).write.mode("append").parquet(landing)
-        run_incremental(spark, landing, events.schema, clean, sink, sink + "_checkpoint")
+        events.filter(part).write.mode("append").parquet(landed)
+        run_incremental(spark, landed, events.schema, clean, sink, sink + "_checkpoint", tasks=STREAM_TASKS)
     return read_sink(spark, sink)
 
 
@@ -413,10 +533,25 @@ def q_incremental(spark, sf):
         return cleaning.clean_survey(B.raw_survey_from_events(events))
 
     for _ in range(2):  # the second run finds no new file and adds nothing
-        run_incremental(spark, sf, src_schema, clean, sink, ckpt, glob="events.parquet")
+        run_incremental(spark, sf, src_schema, clean, sink, ckpt, glob="events.parquet", tasks=STREAM_TASKS)
     return read_sink(spark, sink)
 
 
+def q_incremental_dedup(spark, sf):
+    """Two landings, the second with the last day of the first again: its repeats
+    are dropped by a second run, whose state holds no more than the delay."""
+    # event time is a point in time for a watermark, not a wall-clock reading
+    events = _t(spark, sf).events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    landing_dir, sink = scratch_path(spark, "events_twice"), scratch_path(spark, "events_once")
+    ends = events.agg(F.min(F.unix_micros("ts")).alias("lo"), F.max(F.unix_micros("ts")).alias("hi")).first()
+    cut = F.timestamp_micros(F.lit(((ends.lo or 0) + (ends.hi or 0)) // 2))
+    for part in (F.col("ts") < cut, F.col("ts") >= cut - F.expr(f"INTERVAL {DEDUP_DELAY}")):
+        events.filter(part).write.mode("append").parquet(landing_dir)
+        run_incremental(spark, landing_dir, events.schema, lambda batch: batch, sink, sink + "_checkpoint",
+                        dedup_keys=["event_id"], dedup_within=("ts", DEDUP_DELAY))
+    return read_sink(spark, sink, events.schema).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 QUERIES: dict[str, Query] = {
     "rq1_expenditure_trends": q_rq1,
     "rq2_spending_change_yoy": q_rq2_change,
@@ -466,4 +601,19 @@ QUERIES: dict[str, Query] = {
     "append_pending_rerun": q_append_pending_rerun,
     "questions_master_csv": q_questions_master_csv,
     "trends_for_reader": q_trends_for_reader,
+    "clean_job_reruns": q_clean_job_reruns,
+    "envelope_landing": q_envelope_landing,
+    "landing_counters": q_landing_counters,
+    "hits_landing": q_hits_landing,
+    "distinct_sketches": q_distinct_sketches,
+    "catalog_view_trends": _catalog_view("rq1_expenditure_trends", spending=B.spending),
+    "catalog_view_decisions": _catalog_view("rq2_spending_vs_decisions", spending=B.spending,
+                                            votes=lambda t: B.votes(t, DECISION_FIELDS)),
+    "catalog_view_share": _catalog_view("rq3_citizen_impact_share_by_department", spending=B.spending,
+                                        institutions=B.institutions),
+    "catalog_view_satisfaction": _catalog_view("rq4_satisfaction_by_year", survey=_survey),
+    "incremental_dedup": q_incremental_dedup,
+    "spending_tree_json": q_spending_tree_json,
+    "department_bridge": q_department_bridge,
+    "department_bridge_pages": q_department_bridge_pages,
 }

@@ -17,7 +17,7 @@ from ..schemas import (
     survey_answer_columns,
     survey_columns,
 )
-from .catalog import MANIFEST_SUFFIX, SURVEY_YEAR_OFFSET, WINDOW_DAYS, WINDOW_TYPES
+from .catalog import LANDING_YEAR, MANIFEST_SUFFIX, SURVEY_YEAR_OFFSET, WINDOW_DAYS, WINDOW_TYPES
 
 M = "DECIMAL(38,10)"
 IMPACT_IN = ", ".join(f"'{a}'" for a in CITIZEN_IMPACT_ACCOUNTS)
@@ -409,4 +409,36 @@ WHERE o_orderkey % 50 <> 0"""
     s["questions_master_csv"] = s["extract_questions"]
     s["trends_for_reader"] = f"""SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY year ASC NULLS LAST, type) AS INTEGER) AS row_no
 FROM ({s["rq1_expenditure_trends"]})"""
+    rules = quality._flat(CLEAN_JOBS["spending"][1])
+    parts = {"run 1": f"jahr < {LANDING_YEAR}", "run 2": f"jahr >= {LANDING_YEAR}", "run 3": f"jahr < {LANDING_YEAR}"}
+    runs = " UNION ALL ".join(
+        f"""SELECT '{run}' AS what, rule, metric, outcome FROM (
+{dq_sql(CLEAN_SPENDING + f", part AS (SELECT * FROM clean_spending WHERE {which})", "part", 5, rules)})"""
+        for run, which in parts.items())
+    s["clean_job_reruns"] = f"""{runs}
+UNION ALL SELECT 'rows of a year', CAST(year(l_shipdate) AS VARCHAR), CAST(COUNT(*) AS DOUBLE), NULL FROM lineitem GROUP BY year(l_shipdate)
+UNION ALL SELECT 'results of a run', unnest(['early', 'late']), {len(rules)}.0, NULL"""
+    s["envelope_landing"] = f"""SELECT 'good' AS status, nr, titel FROM ({s["envelope_records"]})
+UNION ALL SELECT 'rejected', first_nr, NULL FROM ({s["envelope_rejects"]})"""
+    s["landing_counters"] = """SELECT COUNT(*) AS n_read, COUNT(*) FILTER (WHERE o_orderkey % 50 <> 0) AS n_good,
+       COUNT(*) FILTER (WHERE o_orderkey % 50 = 0) AS n_rejected FROM orders"""
+    s["hits_landing"] = f"""SELECT 'good' AS status, grnr, file_id FROM ({s["final_vote_documents"]})
+UNION ALL SELECT 'rejected', CAST(o_orderkey AS VARCHAR), NULL FROM orders WHERE o_orderkey % 50 = 0"""
+    s["distinct_sketches"] = """SELECT 'event_id' AS "column", COUNT(*) AS n_rows, COUNT(DISTINCT event_id) AS n_exact, true AS within FROM events
+UNION ALL SELECT 'user_id', COUNT(*), COUNT(DISTINCT user_id), true FROM events"""
+    s["catalog_view_trends"] = s["rq1_expenditure_trends"]
+    s["catalog_view_decisions"] = s["rq2_spending_vs_decisions"]
+    s["catalog_view_share"] = s["rq3_citizen_impact_share"]
+    s["catalog_view_satisfaction"] = s["rq4_satisfaction_by_year"]
+    s["incremental_dedup"] = "SELECT event_id, ts, user_id, event_type, value FROM events"
+    s["spending_tree_json"] = f"""WITH {SPENDING}
+SELECT '0' || right(institution, 1) AS gruppe, lpad(institution, 6, '0') AS institution, jahr, betragstyp, sachkonto,
+       CAST(SUM(CAST(betrag AS {M})) AS DOUBLE) AS betrag FROM spending GROUP BY 1, 2, 3, 4, 5"""
+    bridge = """SELECT CAST(year(o_orderdate) AS VARCHAR) || '/' || CAST(o_orderkey AS VARCHAR) AS grnr, role,
+       'Departement ' || CAST(n % 9 AS VARCHAR) AS department
+FROM (SELECT *, 'leading' AS role, o_orderkey AS n FROM orders WHERE o_orderkey % 4 <> 0
+      UNION ALL SELECT *, 'involved', o_orderkey + unnest(range(1, o_orderkey % 3 + 1)) FROM orders)
+WHERE o_orderkey % 50 <> 0"""
+    s["department_bridge"] = bridge
+    s["department_bridge_pages"] = bridge + " AND o_orderkey % 51 <> 0"
     return s

@@ -231,11 +231,6 @@ VOTE_RECORD = StructType([
 
 PDF_FILE = StructType([StructField("titel", S), StructField("file_id", S)])
 
-BUSINESS_RECORD = StructType([
-    StructField("dateiname", S), StructField("grnr", S), StructField("titel", S),
-    StructField("pdf_files", ArrayType(PDF_FILE)), StructField("geschaeftsart", ArrayType(S)),
-])
-
 WORK_ITEM = StructType([
     StructField("institution", S), StructField("jahr", IntegerType()), StructField("betragstyp", S),
 ])
@@ -251,6 +246,8 @@ HIT_XML = StructType([
     StructField("Geschaeft", StructType([
         StructField("GRNr", S),
         StructField("Titel", S),
+        StructField("FederfuehrendesDepartement", StructType([StructField("Departement", ArrayType(S))])),
+        StructField("MitbeteiligteDepartemente", StructType([StructField("Departement", ArrayType(S))])),
         StructField("Ablaufschritte", StructType([
             StructField("Aufgabe", ArrayType(StructType([
                 StructField("Dokumente", StructType([
@@ -263,14 +260,3 @@ HIT_XML = StructType([
         ])),
     ])),
 ])
-
-QUESTION = StructType([
-    StructField("year", S), StructField("page", IntegerType()),
-    StructField("id", S), StructField("text", S),
-])
-
-SPENDING_CLEAN = StructType([
-    StructField("betrag", DoubleType()), StructField("betragstyp", S),
-    StructField("institution", S), StructField("jahr", IntegerType()),
-    StructField("sachkonto", S),
-])

@@ -8,12 +8,14 @@ both layouts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.text import basename
-from ..schemas import HIT_XML, survey_columns
+from ..schemas import HIT_XML
 
 
 def read_records(spark: SparkSession, path: str | list[str], schema: StructType, *,
@@ -38,21 +40,23 @@ def read_records(spark: SparkSession, path: str | list[str], schema: StructType,
 
 def read_envelope(spark: SparkSession, path: str | list[str], record: StructType, *,
                   field: str = "value", recursive: bool = True, glob: str | None = None,
-                  keep_path_keys: bool = False, multiline: bool = True) -> DataFrame:
+                  multiline: bool = True) -> DataFrame:
     """``{"value": [record, ...]}`` files -> one row per element of ``value``.
 
     Without ``multiline`` every line is an envelope of its own, and large files split.
-
-    ``keep_path_keys`` keeps ``key=value`` directory names as string columns
-    (partition discovery with type inference off); it excludes ``recursive``.
+    Trees of ``key=value`` directories: :func:`read_partitioned_json`.
     """
     schema = StructType([StructField(field, ArrayType(record))])
     r = spark.read.schema(schema).option("multiLine", multiline)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    if recursive and not keep_path_keys:
+    if recursive:
         r = r.option("recursiveFileLookup", True)
-    df = r.json(path)
+    return _records(r.json(path), record, field)
+
+
+def _records(df: DataFrame, record: StructType, field: str) -> DataFrame:
+    """One row per element of ``field``, beside the path keys (all other columns)."""
     keys = [c for c in df.columns if c != field]
     rec = {f.name.lower(): f for f in record.fields}
     clash = [k for k in keys if k.lower() in rec]
@@ -84,33 +88,38 @@ def envelope_rejects(spark: SparkSession, path: str | list[str], record: StructT
     return df.filter(F.col("corrupt").isNotNull()).select("path", "raw")
 
 
-def read_partitioned_json(spark: SparkSession, path: str, record: StructType) -> DataFrame:
+def path_keys(spark: SparkSession, path: str) -> list[str]:
+    """The names of the ``key=value`` directories of a tree below ``path``, from
+    one of its files."""
+    one = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").limit(1).collect())
+    below = one[0].path.split(path.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1] if one else ""
+    return [part.split("=", 1)[0] for part in below.split("/")[:-1] if "=" in part]
+
+
+def read_partitioned_json(spark: SparkSession, path: str, record: StructType, *,
+                          keys: Sequence[str] | None = None, field: str = "value",
+                          multiline: bool = True) -> DataFrame:
     """Envelope files under ``institution=/jahr=/betragstyp=`` directories.
 
-    The path keys are read as strings (``0010`` stays ``0010``); values that
+    The path keys are read as text (``0010`` stays ``0010``) because they are
+    declared so, for this read alone: no session setting is touched, reads may
+    run side by side, and filters on them still prune directories.  Values that
     are also inside the records win, the path keys fill in where they are
-    missing.
+    missing.  ``keys``: their names (default: those of the tree's first file).
     """
-    prev = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        df = read_envelope(spark, path, record, keep_path_keys=True, recursive=False)
-        df.schema  # resolve the partition columns while inference is off
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", prev)
-    return df
-
-
-def read_partitioned_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet under ``key=value`` directories; the path keys stay strings."""
-    prev = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        df = spark.read.parquet(path)
-        df.schema  # resolve the partition columns while inference is off
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", prev)
-    return df
+    keys = path_keys(spark, path) if keys is None else list(keys)
+    schema = StructType([StructField(field, ArrayType(record)), *(StructField(k, StringType()) for k in keys)])
+    df = spark.read.schema(schema).option("multiLine", multiline).json(path)
+    return _records(df, record, field)
+
+
+def read_partitioned_parquet(spark: SparkSession, path: str, *, keys: Sequence[str] | None = None) -> DataFrame:
+    """Parquet under ``key=value`` directories; the path keys stay text (see
+    :func:`read_partitioned_json`)."""
+    keys = path_keys(spark, path) if keys is None else list(keys)
+    data = spark.read.option("recursiveFileLookup", True).parquet(path).schema
+    fields = [f for f in data.fields if f.name not in keys]
+    return spark.read.schema(StructType([*fields, *(StructField(k, StringType()) for k in keys)])).parquet(path)
 
 
 def read_survey_csv(spark: SparkSession, path: str | list[str], *, glob: str,
@@ -131,10 +140,6 @@ def read_survey_csv(spark: SparkSession, path: str | list[str], *, glob: str,
     return r.csv(path)
 
 
-def read_survey_csv_declared(spark: SparkSession, path: str | list[str], **kw) -> DataFrame:
-    return read_survey_csv(spark, path, columns=survey_columns(), **kw)
-
-
 def read_business_xml(spark: SparkSession, path: str | list[str], *, row_tag: str = "Hit",
                       multiline: bool = True) -> DataFrame:
     """Search-result XML -> one row per ``<Hit>`` with the declared tree;

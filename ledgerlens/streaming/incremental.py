@@ -42,7 +42,7 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
                     fmt: str = "parquet", glob: str | None = None, sink_format: str = "parquet",
                     dedup_keys: Sequence[str] | None = None,
                     dedup_within: tuple[str, str] | None = None,
-                    max_files_per_trigger: int | None = None) -> int:
+                    max_files_per_trigger: int | None = None, tasks: int | None = None) -> int:
     """Clean all new files of ``source_dir`` into ``sink``; returns the number of
     rows this run handed to ``clean_fn``, over all its batches (0 when nothing
     new arrived).
@@ -50,7 +50,13 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
     ``dedup_keys`` additionally drops rows whose keys were already seen in
     earlier batches. Their keys stay in the streaming state store: all of them,
     or with ``dedup_within`` = (time column, delay) those of the last ``delay``
-    of event time, which bounds the state.
+    of event time, which bounds the state: a repeat within ``delay`` is dropped,
+    also by a later run; a row older than the newest one by more than ``delay``
+    when its run begins is late and is dropped, repeated or not.
+
+    ``tasks``: deal the rows of every batch to so many tasks before ``clean_fn``
+    (a wide projection over few large files). Off by default: files that land
+    in numbers are tasks enough.
     """
     stream = stream_files(spark, source_dir, schema, fmt=fmt, glob=glob,
                           max_files_per_trigger=max_files_per_trigger)
@@ -64,6 +70,8 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
         # The batch is an ordinary DataFrame: the batch job's clean function
         # applies unchanged.
         seen = Observation()
+        if tasks:
+            batch = batch.repartition(tasks)
         load = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         (clean_fn(batch.observe(seen, F.count(F.lit(1)).alias("n")))
              .withColumn(RUN_COLUMN, F.lit(load)).withColumn(BATCH_COLUMN, F.lit(batch_id))

@@ -46,9 +46,10 @@ def test_department_views_aggregate_before_join(spark):
     assert "Aggregate" in p[join_at:]  # the fact side is aggregated below the join
 
 
-def test_coverage_gaps_shuffle_once_without_join(spark):
-    p = plan(E.queries()["coverage_gaps"](spark, SF_SMALL))
-    assert p.count("Exchange ") == 1 and "Join" not in p
+def test_coverage_gaps_shuffle_bitmap_words_without_join(spark):
+    # the words of (entity, bucket), then those of an entity: never the grid
+    p = plan(E.queries()["coverage_gaps_window"](spark, SF_SMALL))
+    assert p.count("Exchange ") == 2 and "Join" not in p
 
 
 def test_x1_scans_the_survey_once(spark):
