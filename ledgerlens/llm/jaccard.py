@@ -17,7 +17,8 @@ a text without words, or a null text, has no set and links to nothing.
 4. Classes joined by likely pairs form candidate components; in each, all pairs
    are checked exactly, by the sizes of intersections of whole sets. A
    component is checked in blocks of bounded rows and bytes, and only counts
-   and a spanning forest leave a block pair, never all its pairs.
+   and a spanning forest leave a block, between two blocks only what joins
+   different trees of theirs; never all pairs.
 5. Links at or over the threshold make the groups (connected components).
 
 Result: one row per document (repeated rows each get one): n_shingles, class_id
@@ -151,8 +152,8 @@ def leaf_pairs(keys: np.ndarray, sketch: np.ndarray, need: int):
         here = here[keys[here] == keys[here + d]]
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray):
-    """Edges of a spanning forest of the pairs, as (vertex, smallest vertex of its tree)."""
+def _trees(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest vertex of each vertex's tree in a spanning forest of the pairs."""
     label = np.arange(n)
     while len(a):
         low = np.minimum(label[a], label[b])
@@ -165,10 +166,27 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray):
             label = up
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
+    return label
+
+
+def _forest(n: int, a: np.ndarray, b: np.ndarray):
+    """Edges of a spanning forest of the pairs, as (vertex, smallest vertex of its tree)."""
+    label = _trees(n, a, b)
     v = np.flatnonzero(label != np.arange(n))
     return v, label[v]
 
 
+def _between(n: int, inner, outer, told: np.ndarray):
+    """Edges of a unit of two blocks. The forest of pairs within a block (inner)
+    is that of the block's own unit, told there only (``told``); of the pairs
+    across (outer) only what joins different trees is told, so that a dense
+    group leaves one edge a pair of blocks, not a forest of both."""
+    tree = _trees(n, *inner)
+    v, root = _forest(n, tree[outer[0]], tree[outer[1]])
+    own = np.flatnonzero((tree != np.arange(n)) & told)
+    return np.append(own, v), np.append(tree[own], root)
+
+
 def _stream(batches, key: list[str]):
     """Tables of whole runs of equal keys (rows arrive sorted by key); several
     small runs come together."""
@@ -216,19 +234,26 @@ def likely_links(classes: DataFrame, threshold: float, recall: float) -> DataFra
     blocks = F.when(F.col("size") <= BLOCK_ROWS, F.array(F.struct(F.lit(0).alias("lo"), F.lit(0).alias("hi")))).otherwise(
         F.transform(F.sequence(F.lit(0), nb - 1), lambda j: F.struct(
             F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi"))))
-    leaves = (leaves.select("id", "node", F.explode(blocks).alias("b"))
-              .select("id", F.xxhash64("node", "b.lo", "b.hi").alias("node")).join(small, "id")
+    own = F.when(F.col("size") <= BLOCK_ROWS, F.lit(0)).otherwise(own)
+    leaves = (leaves.select("id", "node", own.alias("own"), F.explode(blocks).alias("b"))
+              .select("id", "own", (F.col("b.lo") != F.col("b.hi")).alias("two"), F.xxhash64("node", "b.lo", "b.hi").alias("node"))
+              .join(small, "id")
               .repartition("node").sortWithinPartitions("node"))
 
     def run(batches):
         for t in _stream(batches, ["node"]):
             ids = t.column("id").to_numpy()
             keys = t.column("node").to_numpy()
+            own, two = (t.column(c).to_numpy() for c in ("own", "two"))
             sk = t.column("sk").combine_chunks().flatten().to_numpy().reshape(-1, COORDS)
-            found = [np.stack(_forest_of(len(ids), i, j)) for i, j in leaf_pairs(keys, sk, need) if len(i)]
-            if found:
-                v, root = np.concatenate(found, axis=1)
-                v, root = _forest(len(ids), v, root)
+            none = np.zeros((2, 0), np.int64)
+            inner, outer = [none], [none]
+            for i, j in leaf_pairs(keys, sk, need):
+                same = own[i] == own[j]
+                inner.append(np.stack(_forest_of(len(ids), i[same], j[same])))
+                outer.append(np.stack(_forest_of(len(ids), i[~same], j[~same])))
+            v, root = _between(len(ids), np.concatenate(inner, axis=1), np.concatenate(outer, axis=1), ~two)
+            if len(v):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[v]), pa.array(ids[root])], names=["a", "b"])
 
     return leaves.mapInArrow(run, "a long, b long").distinct()
@@ -276,10 +301,13 @@ def exact_links(members: DataFrame, threshold: float) -> DataFrame:
         n = np.array([len(s) for s in sets])
         both = _intersections(np.concatenate(sets), np.repeat(np.arange(len(n)), n), len(n))
         linked = both >= threshold * (n[:, None] + n[None, :] - both) - 1e-6
-        if t.column("lo")[0].as_py() != t.column("hi")[0].as_py():
-            linked &= own[:, None] != own[None, :]  # pairs of one block have a unit of their own
         np.fill_diagonal(linked, False)
-        v, root = _forest(len(n), *np.nonzero(np.triu(linked)))
+        across = own[:, None] != own[None, :]
+        two = t.column("lo")[0].as_py() != t.column("hi")[0].as_py()
+        v, root = _between(len(n), np.nonzero(np.triu(linked & ~across)), np.nonzero(np.triu(linked & across)),
+                           np.full(len(n), not two))
+        if two:
+            linked &= across  # pairs of one block have a unit of their own
         hit = np.flatnonzero(linked.any(1))
         return (np.concatenate([ids[hit], ids[v]]), np.concatenate([np.zeros(len(hit), np.int64), ids[root]]),
                 np.concatenate([np.zeros(len(hit), bool), np.ones(len(v), bool)]),

@@ -79,6 +79,31 @@ def test_jaccard_large_near_group_in_blocks(spark, monkeypatch):
     check_links(rows, jaccard.jaccard_join(df).collect())
 
 
+def test_edges_of_a_dense_group_grow_with_its_size(spark, monkeypatch):
+    """Once, twice, four times a block of near copies: a few edges a class, not a forest for each pair of blocks."""
+    from ledgerlens.llm.components import components
+
+    ship(spark)
+    monkeypatch.setattr(jaccard, "SMALL", 8)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 32)
+    found = {}
+    for n in (32, 64, 128, 256):
+        texts = [" ".join(f"x{i}" if j == i % 150 else f"w{j}" for j in range(150)) for i in range(n)]
+        d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        signed = jaccard.sign(d, "doc_id", "text", 5).selectExpr("xxhash64(k1, k2) id", "sig", "k1", "k2", "1L copies")
+        edges = jaccard.likely_links(signed, 0.8, 0.99)
+        groups = components(edges)
+        assert groups.count() == n and groups.select("label").distinct().count() == 1
+        members = signed.join(jaccard.whole_sets(d, "doc_id", "text", 5), ["k1", "k2"]).selectExpr(
+            "1L comp", "id", "copies", "hashes")
+        links = jaccard.exact_links(members, 0.8)
+        assert links.filter("partner is null").selectExpr("sum(sets)").first()[0] == n * (n - 1)
+        forest = links.filter("partner is not null").count()
+        assert n - 1 <= forest <= n + (n // 32 + 1) ** 2
+        found[n] = edges.count() / n
+    assert max(found.values()) < 2 * found[32] + 1, found
+
+
 def test_decontamination(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").unionByName(
         spark.createDataFrame([(900, "The of"), (901, "..."), (902, None)], "item_id long, text string"))
@@ -287,6 +312,19 @@ def test_mixing_reaches_its_weights(spark):
     assert len(big) == 20 and abs(sum(r["count"] for r in big) - 12000) < 500  # a rate of 600, in pieces
 
 
+def test_a_hot_document_is_dealt_out(spark, monkeypatch):
+    """A source of one document with a third of the mix: the same copies, whether drawn in one row or in many."""
+    rows = [(i, "t", "big") for i in range(600)] + [(7000, "hot", "one"), (7001, "hot", None)] * 2
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = sorted(mixing.mix(d).collect())
+    monkeypatch.setattr(mixing, "CHUNK", 1)
+    assert sorted(mixing.mix(d).collect()) == whole
+    monkeypatch.setattr(mixing, "PIECE", 3.0)
+    many = mixing.mix(d).filter("doc_id = 7000").groupBy("copy").count().collect()  # other draws, numbered on without gaps
+    assert sorted(r.copy for r in many) == list(range(1, len(many) + 1)) and {r["count"] for r in many} == {2}
+    assert abs(len(many) - 100) < 60
+
+
 def test_line_windows_keep_the_first_place(spark):
     rows = [(2, "A\nB\nC\nD"), (1, "x\n A\nB\n\nC\t\ny"), (3, "A\nB"), (4, "R\nR\nR\nR\nR"), (5, "A\nB\nC\nB\nC\nD")]
     got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
