@@ -3,7 +3,13 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run``
 writes as Parquet in the shared folder and reads as the next stage's docs.
 Language ID, the chosen-path join and the index search can't be said in SQL, so
-ORACLE_SQL is None; tests/llm holds each stage against brute force.
+ORACLE_SQL is None.  tests/llm holds the stages against plain-Python versions on
+small tables (language ID: held-out documents and awkward rows).
+
+Every stage takes an empty table and returns one.  A null id is an id like
+others; a null or empty text has no language, so the first stage drops it.  Rows
+equal in id and text are one document: the Jaccard stage keeps one of them where
+the text has a word, the others treat each like the next.
 """
 
 from __future__ import annotations
@@ -17,10 +23,14 @@ from ledgerlens.session import apply_defaults
 
 #: A document goes if its leading language has less of it than this, or it has no letter.
 LEAST_SHARE = 0.4
+#: Benchmark items of fewer words than this remove no document: a single common
+#: word as an item would empty the corpus.
+LEAST_ITEM_WORDS = 3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a main language (learned as op9 learns it)."""
+    """Keeps documents with a main language (learned as op9 learns it); repeated
+    rows and rows without id are judged each by their text."""
     ship(spark)
     model = langid.fit(docs.filter(fold("doc_id", 4) != 2))
     found = langid.predict(docs, model, through=docs.columns)
@@ -29,7 +39,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated three-line windows, n_chars anew; a document all
-    of whose lines stand elsewhere goes."""
+    of whose lines stand elsewhere goes. A null id comes before others, rows of one
+    id and text are one document; a text that was blank before stays."""
     cols = docs.columns
     out = linededup.dedup_lines(docs)
     out = out.filter((F.col("n_removed") == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
@@ -57,9 +68,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a window of a benchmark item."""
+    """Drops documents that hold a window of a benchmark item (of at least
+    LEAST_ITEM_WORDS words); every row of such an id and text goes."""
     ship(spark)
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    words = F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark").filter(words >= LEAST_ITEM_WORDS))
     hit = found.filter("n_hit > 0").select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")).distinct()
     out = docs.withColumn("__k", text_key("text"))
     out = out.join(hit, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__k") == F.col("__key")), "left_anti")
@@ -67,7 +80,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Equal weights for all sources, one epoch."""
+    """Equal weights for all sources (a null source is one of them), one epoch;
+    repeated rows draw the same number of copies, rows without id by their text."""
     return mixing.mix(docs)
 
 

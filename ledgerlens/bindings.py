@@ -126,6 +126,10 @@ def raw_accounts(t: Tables) -> DataFrame:
     inst = inst.select(F.col("key").alias("_ik"), F.struct("key", "bezeichnung", "kurzname", "departement")
                        .alias("institution"))
     p = t.part
+    # a part books one of a few sizes: only those rows of the dimension, a side so
+    # small at run time that it is sent to the parts, however hot a size is
+    sizes = p.select(F.col("p_size").cast("string").alias("_ik")).distinct()
+    inst = inst.join(sizes, "_ik", "left_semi")
     return p.join(inst, p["p_size"].cast("string") == inst["_ik"], "left").select(
         F.col("p_partkey").cast("int").alias("id"),
         F.concat((F.lit(30) + F.col("p_partkey") % 10).cast("string"), F.lit("."),

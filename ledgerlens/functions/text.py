@@ -16,6 +16,9 @@ Parity notes for text produced by a Python-regex parser:
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +26,10 @@ from pyspark.sql import functions as F
 _STRIP = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
           + "\u2028\u2029\u202f\u205f\u3000")
 
+# Every decimal digit of Unicode, as ``\\d`` matches it, and the ASCII digit it stands for.
+_DIGITS = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+_ASCII_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _DIGITS)
+
 
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -47,9 +54,10 @@ def field(text: str | Column, pattern: str, group: int = 1, *, group_never_empty
 
 
 def int_field(text: str | Column, pattern: str, group: int = 1) -> Column:
-    """Integer captured by ``pattern`` (a group of one or more digits); null
-    when absent or not a number."""
-    return field(text, pattern, group, group_never_empty=True).try_cast("int")
+    """Integer captured by ``pattern`` (a group of one or more digits, of any
+    script); null when absent or not a number."""
+    found = field(text, pattern, group, group_never_empty=True)
+    return F.translate(found, "".join(_DIGITS), _ASCII_DIGITS).try_cast("int")
 
 
 def non_empty(c: str | Column) -> Column:

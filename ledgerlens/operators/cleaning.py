@@ -22,13 +22,13 @@ from ..schemas import (
     survey_mapping,
 )
 from . import quality
-from .mapping import apply_mapping, flatten, keep_non_empty
+from .mapping import apply_mapping, derive, flatten, keep_non_empty
 
 
 def clean_votes(raw: DataFrame) -> DataFrame:
     """Vote protocol records -> ``vote`` table (year from the business number)."""
     df = apply_mapping(raw, VOTE_MAPPING)
-    df = df.withColumn("year", leading_year("geschaeftsnummer"))
+    df = derive(df, "year", leading_year("geschaeftsnummer"))
     return keep_non_empty(df, "geschaeftsnummer")
 
 
@@ -51,7 +51,7 @@ def clean_businesses(raw: DataFrame) -> DataFrame:
                   else F.to_json(c))
     df = _as_text(df, "pdf_files", lambda c, t: F.to_json(c))
     df = apply_mapping(df, BUSINESS_MAPPING)
-    df = df.withColumn("year", leading_year("grnr"))
+    df = derive(df, "year", leading_year("grnr"))
     return keep_non_empty(df, "grnr")
 
 

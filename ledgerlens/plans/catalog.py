@@ -127,6 +127,22 @@ def q_businesses_from_pages(spark, sf):
     return cleaning.clean_businesses(business_items(B.business_pages(_t(spark, sf))))
 
 
+def q_clean_checked(spark, sf):
+    """Clean rows passed through their check, with the number of failed rules beside them."""
+    clean, report = cleaning.clean_and_check("accounts", B.raw_accounts(_t(spark, sf)))
+    failed = report.filter("outcome = 'Failed'").agg(F.count("*")).scalar()
+    return clean.withColumn("n_failed", failed)
+
+
+def q_document_files(spark, sf):
+    """The documents landed in nested folders, and the folders that a listing by suffix finds files in."""
+    p = scratch_path(spark, "document_files")
+    writers.write_partitioned(_t(spark, sf).documents.select("doc_id", "lang", "source"), p, ["lang", "source"])
+    found = readers.list_documents(spark, p, suffix=".JSON").filter("length > 0")
+    part = lambda k: F.nullif(F.regexp_extract("path", f"/{k}=([^/]*)/", 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return found.select(part("lang").alias("lang"), part("source").alias("source")).distinct()
+
+
 def q_clean_businesses(spark, sf):
     return cleaning.clean_businesses(B.raw_businesses(_t(spark, sf)))
 
@@ -601,6 +617,8 @@ QUERIES: dict[str, Query] = {
     "append_pending_rerun": q_append_pending_rerun,
     "questions_master_csv": q_questions_master_csv,
     "trends_for_reader": q_trends_for_reader,
+    "clean_checked": q_clean_checked,
+    "document_files": q_document_files,
     "clean_job_reruns": q_clean_job_reruns,
     "envelope_landing": q_envelope_landing,
     "landing_counters": q_landing_counters,

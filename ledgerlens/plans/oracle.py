@@ -418,6 +418,9 @@ FROM ({s["rq1_expenditure_trends"]})"""
     s["clean_job_reruns"] = f"""{runs}
 UNION ALL SELECT 'rows of a year', CAST(year(l_shipdate) AS VARCHAR), CAST(COUNT(*) AS DOUBLE), NULL FROM lineitem GROUP BY year(l_shipdate)
 UNION ALL SELECT 'results of a run', unnest(['early', 'late']), {len(rules)}.0, NULL"""
+    s["clean_checked"] = f"""SELECT a.*, n_failed FROM ({s["clean_accounts"]}) a,
+(SELECT COUNT(*) AS n_failed FROM ({s["dq_accounts"]}) WHERE outcome = 'Failed')"""
+    s["document_files"] = "SELECT DISTINCT lang, source FROM documents"
     s["envelope_landing"] = f"""SELECT 'good' AS status, nr, titel FROM ({s["envelope_records"]})
 UNION ALL SELECT 'rejected', first_nr, NULL FROM ({s["envelope_rejects"]})"""
     s["landing_counters"] = """SELECT COUNT(*) AS n_read, COUNT(*) FILTER (WHERE o_orderkey % 50 <> 0) AS n_good,

@@ -2,8 +2,10 @@
 
 The engine never picks a machine-local folder on its own: intermediate
 tables and streaming checkpoints live below ``spark.checkpoint.dir``, the
-shared folder the cluster names.  Only when that setting is absent (local
-tests) do we fall back to a directory below the warehouse.
+shared folder the cluster names.  Only in local mode, where one machine is
+all there is, a missing setting falls back to a directory below the warehouse;
+on a cluster it is an error.  Each application has a folder of its own there,
+which :func:`clear_scratch` removes once its results are written.
 """
 
 from __future__ import annotations
@@ -60,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         d = warehouse.rstrip("/") + "/_ledgerlens_checkpoints"
@@ -67,9 +71,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/ledgerlens/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/ledgerlens/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove this application's intermediate tables. For the caller, when the
+    results are written: DataFrames of the library may still read them before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

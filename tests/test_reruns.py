@@ -261,3 +261,19 @@ def test_departments_one_many_or_none(spark):
             '"MitbeteiligteDepartemente": {"Departement": ["B", "C"]}}}, {"Geschaeft": {"GRNr": "2"}}]}}')
     pages = spark.createDataFrame([("f", page)], "dateiname string, page string")
     assert sorted(map(tuple, department_bridge(business_items(pages)).collect())) == want
+
+
+def test_counters_in_digits_of_any_script(spark):
+    from ledgerlens.functions.text import int_field
+    texts = ["JA: 12", "JA: ١٢", "JA: १२३", "JA: 𝟜𝟚", "JA: x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.n for r in df.select(int_field("t", r"(?U)JA:\s*(\d+)").alias("n")).collect()] == [12, 12, 123, 42, None, None]
+
+
+def test_scratch_is_removed_on_request(spark):
+    from ledgerlens.session import clear_scratch, scratch_path
+    p = scratch_path(spark, "x")
+    spark.range(3).write.parquet(p)
+    assert clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(p)
