@@ -68,8 +68,8 @@ def _draw(rows: DataFrame, seed: str) -> DataFrame:
     """``rows`` with __n: the copies drawn by the pieces of its chunk."""
     first = F.col("__chunk") * CHUNK + 1
     pieces = F.sequence(first, F.least(first + CHUNK - 1, F.col("__pieces")))
-    draws = F.transform(pieces, lambda i: F.size(F.filter("__sums", lambda c: c < uniform(
-        F.lit(seed), i.cast("string"), F.col("__who")))))
+    at = F.transform(pieces, lambda i: uniform(F.lit(seed), i.cast("string"), F.col("__who")))  # once a piece
+    draws = F.transform(at, lambda u: F.size(F.filter("__sums", lambda c: c < u)))
     return rows.withColumn("__n", F.aggregate(draws, F.lit(0), lambda a, x: a + x))
 
 
