@@ -11,18 +11,23 @@ boundaries and kinds of a passage jointly. Its kinds are those of the base and
 overlaps a base span; base spans always stay.
 
 Training: spans by pattern, and keys after a telling word, of a bounded sample
-of documents (``SAMPLE``, smallest text hashes; ``PASSAGES`` passages) are the
-labels; the likelihood of whole segmentations is maximised.
+of documents (``SAMPLE``, smallest text hashes; ``PASSAGES`` passages, at most
+``PER_TEXT`` of a text and ``TRAINED`` characters each) are the labels; the likelihood of whole segmentations is maximised.
 
 Offsets are code points, ends exclusive. Null and empty texts have no spans.
 Repeated rows each get a row. Bytes that aren't UTF-8 count as one replacement
-character each run.
+character each run. Of an empty table the result is empty.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import heapq
+import itertools
 import re
+import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +42,10 @@ KINDS = ["email", "ip", "card", "phone"]
 ALL_KINDS = [*KINDS, "secret"]
 ORDER = {k: i for i, k in enumerate(ALL_KINDS)}
 SAMPLE, PASSAGES, EPOCHS = 3_000, 1_200, 12
+TRAINED, PER_TEXT = 2_000, 8  # characters of a passage learned from; passages of a text
 LONGEST = 16  # pieces of a segment
-BLOCK = 512
+BLOCK = 2_048  # first pieces whose segments are scored at once
+GROUP = 1 << 16  # characters of the passages taken together
 
 _ANCHOR = np.zeros(256, bool)
 _ANCHOR[0x30:0x3A] = True
@@ -94,7 +101,6 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 _TOKEN = re.compile(r"\S+")
 _HAS = re.compile(r"[0-9@]")
-_PIECE = re.compile(r"[A-Za-z0-9]+|\s+|[^A-Za-z0-9\s]")
 _SECRET_CUE = re.compile(r"(?i)(?:token|passw|pwd|secret|key|api|auth|bearer)")
 _PHONE_CUE = re.compile(r"(?i)(?:tel|phone|call|mobile|fax)")
 _SEED = re.compile(r"AKIA[0-9A-Z]{12,32}|(?i:token|password|passwd|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9]{12,128})")
@@ -125,44 +131,118 @@ NAMES = ["bias", "at", "at_and_dot", "plus", "few_digits", "some_digits", "phone
          "length", "all_digits", "odd_sign"]
 
 
-def split(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    return [m.span() for m in _PIECE.finditer(text, start, end)]
+_CUE = {"secret": re.compile(f"(?=({_SECRET_CUE.pattern[4:]}))", re.I), "phone": re.compile(f"(?=({_PHONE_CUE.pattern[4:]}))", re.I)}
+_FLAGS = {"digit": str.isdigit, "alpha": str.isalpha, "alnum": str.isalnum, "space": str.isspace, "at": "@".__eq__, "dot": ".".__eq__,
+          "hex": set("0123456789abcdefABCDEF").__contains__, "odd": set("\"'=:;,/|").__contains__, "edge": set(".-+@_%").__contains__}
+_ASCII = {name: np.array([test(chr(c)) for c in range(128)]) for name, test in _FLAGS.items()}
 
 
-def segments(text: str, pieces, cue: str, lo: int = 0, hi: int = 1 << 60):
-    """(segments as (i, j) piece numbers, features of each); lo <= i < hi."""
-    start, end = pieces[0][0], pieces[-1][1]
-    word = {k: text[pieces[k][0]].isalnum() and text[pieces[k][0]] < "\x80" for k in range(lo, min(len(pieces), hi + LONGEST))}
-    found, rows = [], []
-    for i in range(lo, min(hi, len(pieces))):
-        a = pieces[i][0]
-        if not word[i] and text[a] not in "+(":
-            continue
-        for j in range(i, min(i + LONGEST, len(pieces))):
-            b = pieces[j][1]
-            if not word[j]:
-                continue
-            s = text[a:b]
-            if not _HAS.search(s):
-                continue
-            found.append((i, j + 1))
-            rows.append(_features(s, text[a - 1:a] if a > start else " ", text[b:b + 1] if b < end else " ", cue + " " + text[start:a][-40:]))
-    return found, np.array(rows, float).reshape(len(rows), len(NAMES))
-
-
-def _features(s: str, left: str, right: str, before: str) -> list[float]:
-    digits = _NOT_DIGIT.sub("", s)
-    n = len(digits)
-    letters = sum(c.isalpha() for c in s)
-    plain = s.isalnum()
-    quad = s.count(".") == 3 and n + 3 == len(s) and all(p and len(p) <= 3 and int(p) <= 255 for p in s.split("."))
-    at = s.count("@")
-    return [1, at == 1, at == 1 and "." in s.split("@", 1)[-1], s[0] == "+", n < 7, 7 <= n < 9, 9 <= n <= 15, 12 <= n <= 19, n > 19,
-            12 <= n <= 19 and not letters and luhn(digits), quad, letters > 0, plain and letters > 0 and n > 0 and len(s) >= 16,
-            plain and len(s) >= 16 and all(c in "0123456789abcdefABCDEF" for c in s), any(c.isspace() for c in s),
-            min(len(s) - n - letters, 6) / 6, bool(_SECRET_CUE.search(before)), bool(_PHONE_CUE.search(before)),
-            left.isalnum() or left in ".-+@_%", right.isalnum() or right in "@", min(len(s), 60) / 20, n == len(s),
-            any(c in "\"'=:;,/|" for c in s)]
+def _flag(codes: np.ndarray, name: str) -> np.ndarray:
+    """Which characters are so; digits are 0-9 alone."""
+    out = _ASCII[name][np.minimum(codes, 127)]
+    wide = np.flatnonzero(codes > 127)
+    if len(wide):
+        some, at = np.unique(codes[wide], return_inverse=True)
+        out[wide] = (np.array([_FLAGS[name](chr(c)) for c in some]) & (name != "digit"))[at]
+    return out
+
+
+class Pieces:
+    """The pieces of some passages of a text, one after another: where each starts
+    in ``codes`` (their characters), and what is asked of single pieces."""
+
+    def __init__(self, text: str, found: list[tuple[int, int, str]]):
+        parts = [text[a:b] for a, b, _ in found]
+        joined = "".join(parts)
+        self.codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.edge = np.cumsum([0, *map(len, parts)])  # of passages
+        self.shift = np.array([a for a, _, _ in found]) - self.edge[:-1]
+        word = _flag(self.codes, "alnum") & (self.codes < 128)
+        kind = word + 2 * _flag(self.codes, "space").astype(np.uint8)
+        cut = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == 0))
+        cut[self.edge[:-1]] = True
+        self.start = np.append(np.flatnonzero(cut), len(self.codes))
+        here = self.start[:-1]
+        self.word = word[here]
+        self.opens = self.word | np.isin(self.codes[here], [ord("+"), ord("(")])
+        #: Whether a telling word stands in the words before a passage or the 40 characters before a piece.
+        self.cue = {}
+        for name, pattern in _CUE.items():
+            spans = np.array([m.span(1) for m in pattern.finditer(joined)], np.int64).reshape(-1, 2)
+            spans = spans[np.argsort(spans[:, 1], kind="stable")]
+            latest = np.append(-1, np.maximum.accumulate(spans[:, 0]))
+            near = latest[np.searchsorted(spans[:, 1], here, "right")]
+            told = np.array([bool(pattern.search(c)) for _, _, c in found])
+            of = self.passage(np.arange(len(here)))
+            self.cue[name] = told[of] | (near >= np.maximum(self.edge[of], here - 40))
+
+    def __len__(self):
+        return len(self.start) - 1
+
+    def passage(self, piece):
+        return np.searchsorted(self.edge, self.start[piece], "right") - 1
+
+    def segments(self, lo: int = 0, hi: int | None = None):
+        """(first piece, last piece, features) of the segments that start at the
+        pieces lo to hi, ordered by their first, then last piece."""
+        hi = len(self) if hi is None else min(hi, len(self))
+        end = min(hi + LONGEST, len(self))
+        bound = self.start[lo:end + 1] - self.start[lo]
+        codes = self.codes[self.start[lo]:self.start[end]]
+        flag = {n: _flag(codes, n) for n in _FLAGS}
+        total = {n: np.append(0, np.cumsum(np.add.reduceat(f, bound[:-1], dtype=np.int64))) for n, f in flag.items()}
+        of = self.passage(np.arange(lo, end))
+        last = np.searchsorted(self.start, self.edge[1:])[of[:hi - lo]] - lo  # one after the passage's last piece
+        first = np.arange(hi - lo)
+        to = first[:, None] + np.arange(LONGEST)
+        ok = (to < last[:, None]) & self.opens[lo:hi, None] & self.word[lo:end][np.minimum(to, end - lo - 1)]
+        i, step = np.nonzero(ok)
+        j = i + step  # numbers of pieces from lo on
+        count = {n: t[j + 1] - t[i] for n, t in total.items()}
+        some = count["digit"] + count["at"] > 0
+        i, j, count = i[some], j[some], {n: c[some] for n, c in count.items()}
+        if not len(i):
+            return i, j, np.zeros((0, len(NAMES)))
+        n, letters, size = count["digit"], count["alpha"], bound[j + 1] - bound[i]
+        plain = count["alnum"] == size
+        one = count["at"] == 1
+        at = np.append(np.flatnonzero(np.diff(total["at"])), end - lo)
+        at = np.minimum(at[np.searchsorted(at, i)], j)  # the first @
+        # pieces of an address: up to three digits of at most 255, and dots between
+        width, place = np.diff(bound), bound[:-1]
+        value = np.where(flag["digit"], codes, 48).astype(np.int64) - 48
+        number = sum(np.where(width > d, value[np.minimum(place + d, len(codes) - 1)] * 10 ** np.clip(width - 1 - d, 0, 2), 0) for d in range(3))
+        octet = (width <= 3) & (np.diff(total["digit"]) == width) & (number <= 255)
+        quad = j - i == 6
+        for d in range(7):
+            quad &= (codes[place] == ord(".") if d % 2 else octet)[np.minimum(i + d, end - lo - 1)]
+        left = codes[np.maximum(bound[i] - 1, 0)] if not lo else self.codes[self.start[lo] + bound[i] - 1]
+        right = self.codes[np.minimum(self.start[lo] + bound[j + 1], len(self.codes) - 1)]
+        inner_left = self.start[lo] + bound[i] > self.edge[of[i]]
+        inner_right = self.start[lo] + bound[j + 1] < self.edge[of[i] + 1]
+        card = (n >= 12) & (n <= 19)
+        feats = [np.ones(len(i)), one, one & (total["dot"][j + 1] > total["dot"][at]), codes[bound[i]] == ord("+"), n < 7, (n >= 7) & (n < 9),
+                 (n >= 9) & (n <= 15), card, n > 19, _luhn_of(codes, flag["digit"], bound, total["digit"], i, j, card & (letters == 0)),
+                 quad, letters > 0, plain & (letters > 0) & (n > 0) & (size >= 16), plain & (size >= 16) & (count["hex"] == size),
+                 count["space"] > 0, np.minimum(size - n - letters, 6) / 6, self.cue["secret"][lo:hi][i], self.cue["phone"][lo:hi][i],
+                 inner_left & (_flag(left, "alnum") | _flag(left, "edge")), inner_right & (_flag(right, "alnum") | (right == ord("@"))),
+                 np.minimum(size, 60) / 20, n == size, count["odd"] > 0]
+        return i + lo, j + lo, np.stack(feats, axis=1).astype(float)
+
+
+def _luhn_of(codes, digit, bound, total, i, j, ask):
+    """Whether the digits of the segments that are asked for pass the check."""
+    out = np.zeros(len(i), bool)
+    ask = np.flatnonzero(ask)
+    if not len(ask):
+        return out
+    at = np.flatnonzero(digit)
+    place = total[j[ask] + 1][:, None] - 1 - np.arange(19)  # from the right
+    there = place >= total[i[ask]][:, None]
+    v = np.where(there, codes[at[np.maximum(place, 0)]].astype(np.int64) - 48, 0)
+    v[:, 1::2] = v[:, 1::2] * 2 - 9 * (v[:, 1::2] > 4)
+    out[ask] = v.sum(1) % 10 == 0
+    return out
 
 
 def _lattice(size, found):
@@ -173,34 +253,40 @@ def _lattice(size, found):
     return by_end
 
 
-def decode(weights: np.ndarray, text: str, pieces, cue: str) -> list[tuple[int, int, int]]:
-    """The best segmentation: (first piece, end piece, kind); a piece in no
-    segment scores 0. Features are held for BLOCK first pieces at once."""
-    found, kind, top = [], [], []
+def decode(weights: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int]]:
+    """The best segmentation: (first piece, end piece, kind); a piece in no segment
+    scores 0, so a segment that scores no more is never in it. Features are held
+    for BLOCK first pieces at once."""
+    parts = []
     for lo in range(0, len(pieces), BLOCK):
-        some, feats = segments(text, pieces, cue, lo, lo + BLOCK)
-        score = feats @ weights.T
-        found += some
-        kind += score.argmax(1).tolist()
-        top += score.max(1).tolist()
-    if not found:
+        i, j, feats = pieces.segments(lo, lo + BLOCK)
+        if len(i):
+            # steps of 2**-20 add up exactly: ties don't hang on the order of additions
+            score = np.rint(feats @ weights.T * 2 ** 20) / 2 ** 20
+            top = score.max(1)
+            good = np.flatnonzero(top > 0)
+            parts.append((j[good] + 1, i[good], top[good], score[good].argmax(1).astype(np.int8)))
+    if not parts:
         return []
-    size = len(pieces)
-    best, back = [0.0] * (size + 1), [-1] * (size + 1)
-    by_end = _lattice(size, found)
-    for j in range(1, size + 1):
-        best[j] = best[j - 1]
-        for k in by_end[j]:
-            v = best[found[k][0]] + top[k]
-            if v > best[j]:
-                best[j], back[j] = v, k
-    out, j = [], size
-    while j:
-        if back[j] < 0:
-            j -= 1
-        else:
-            out.append((*found[back[j]], kind[back[j]]))
-            j = found[back[j]][0]
+    cols = [np.concatenate(c) for c in zip(*parts)]
+    order = np.lexsort((cols[1], cols[0]))
+    # the best score changes at the ends of segments only: its end, value, and the segment's
+    # start, kind and the entry before it
+    ends, best, starts, kinds, befores = array("q", [0]), array("d", [0]), array("q", [-1]), array("b", [-1]), array("q", [-1])
+    for lo in range(0, len(order), 1 << 16):
+        for end, start, top, kind in zip(*(c[order[lo:lo + (1 << 16)]].tolist() for c in cols)):
+            before = bisect.bisect_right(ends, start) - 1
+            v = best[before] + top
+            if v > best[-1]:
+                if ends[-1] == end:
+                    best[-1], starts[-1], kinds[-1], befores[-1] = v, start, kind, before
+                else:
+                    for to, x in ((ends, end), (best, v), (starts, start), (kinds, kind), (befores, before)):
+                        to.append(x)
+    out, at = [], len(ends) - 1
+    while at:
+        out.append((starts[at], ends[at], kinds[at]))
+        at = befores[at]
     return out[::-1]
 
 
@@ -237,19 +323,19 @@ def train(texts: list[str], at_most: int = PASSAGES, epochs: int = EPOCHS) -> np
     data = []
     for text in texts:
         gold = {(a, b): ORDER[k] for a, b, k in labelled(text)}
-        for start, end, cue in passages(text):
-            if len(data) >= at_most or end - start > 2000:
+        for found in passages(text):
+            if len(data) >= at_most or found[1] - found[0] > TRAINED:
                 continue
-            pieces = split(text, start, end)
-            found, feats = segments(text, pieces, cue)
-            if not found:
+            pieces = Pieces(text, [found])
+            i, j, feats = pieces.segments()
+            if not len(i):
                 continue
-            target = np.zeros((len(found), len(ALL_KINDS)))
-            for k, (i, j) in enumerate(found):
-                kind = gold.get((pieces[i][0], pieces[j - 1][1]))
-                if kind is not None:
-                    target[k, kind] = 1
-            data.append((len(pieces), found, feats, target))
+            target = np.zeros((len(i), len(ALL_KINDS)))
+            shift = int(pieces.shift[0])
+            for k, span in enumerate(zip((pieces.start[i] + shift).tolist(), (pieces.start[j + 1] + shift).tolist())):
+                if span in gold:
+                    target[k, gold[span]] = 1
+            data.append((len(pieces), list(zip(i.tolist(), (j + 1).tolist())), feats, target))
     w = np.zeros((len(ALL_KINDS), len(NAMES)))
     w[:, 0] = -1
     memory = np.full_like(w, 1e-6)
@@ -265,30 +351,49 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> np.ndarray
     rows = docs.select(F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
     chosen = written(rows.select("h").distinct().orderBy("h").limit(sample), "pii-sample")
 
-    def cut(batches):  # only what the fit reads: passages with a little text before them
+    def cut(batches):  # only what the fit reads: some short passages a text, with a little text before them
         for batch in batches:
             out = []
             for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                out += [(h, a, t[max(0, a - 60):b]) for a, b, _ in passages(t)]
+                short = ((zlib.crc32(f"{h}:{a}".encode()), a, b) for a, b, _ in passages(t) if b - a <= TRAINED)
+                out += [(key, h, a, t[max(0, a - 60):b]) for key, a, b in heapq.nsmallest(PER_TEXT, short)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["h", "at", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["key", "h", "at", "text"])
 
     # the rows of the sample are few, but many documents may have one text
-    texts = rows.join(chosen, "h", "left_semi").dropDuplicates(["h"]).select("h", "text").mapInArrow(cut, "h long, at long, text string")
-    got = texts.orderBy("h", "at").limit(PASSAGES).collect()
+    texts = rows.join(chosen, "h", "left_semi").dropDuplicates(["h"]).select("h", "text").mapInArrow(
+        cut, "key long, h long, at long, text string")
+    got = texts.orderBy("key", "h", "at").limit(PASSAGES).collect()
     return train([r["text"] for r in got])
 
 
+def _grouped(text: str):
+    """Passages, so many at once that they have about GROUP characters."""
+    some, size = [], 0
+    for p in passages(text):
+        some.append(p)
+        size += p[1] - p[0]
+        if size >= GROUP:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def all_spans(text: str, weights: np.ndarray):
     """(base spans, added spans)"""
     base = base_spans(text)
-    taken = np.array([(a, b) for a, b, _ in base]).reshape(-1, 2)
+    # ends of spans up to each start: base spans of several kinds may overlap
+    starts = [a for a, _, _ in base]
+    reach = list(itertools.accumulate((b for _, b, _ in base), max))
     added = []
-    for start, end, cue in passages(text):
-        pieces = split(text, start, end)
-        for i, j, kind in decode(weights, text, pieces, cue):
-            a, b = pieces[i][0], pieces[j - 1][1]
-            if not ((taken[:, 0] < b) & (taken[:, 1] > a)).any():
+    for found in _grouped(text):
+        pieces = Pieces(text, found)
+        for i, j, kind in decode(weights, pieces):
+            shift = int(pieces.shift[pieces.passage(i)])
+            a, b = int(pieces.start[i]) + shift, int(pieces.start[j]) + shift
+            k = bisect.bisect_left(starts, b)  # base spans that start before its end
+            if not k or reach[k - 1] <= a:
                 added.append((a, b, ALL_KINDS[kind]))
     return base, added
 
