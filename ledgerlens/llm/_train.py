@@ -19,3 +19,9 @@ def training_ids(labels: DataFrame, label: str, at_most: int, doc_id: str = "doc
 def by_hash(rows: DataFrame, key: Column, at_most: int) -> DataFrame:
     """At most so many rows, those of the smallest hashes."""
     return rows.orderBy(F.xxhash64(F.lit("sample"), key)).limit(at_most)
+
+
+def one_text(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row of each ``__id``, that of the smallest text hash (combined in each
+    task first): a sample of ids is then bounded in rows too."""
+    return rows.groupBy("__id", *keep).agg(F.min_by("text", F.xxhash64("text")).alias("text")).drop("__id")

@@ -11,7 +11,9 @@ one hidden layer then minimises  prior * R+(P) + max(0, R-(U) - prior * R-(P)).
 The fit reads at most ``positives`` and ``unlabelled`` documents outside the
 held-out fold (those of the smallest hashes); scores cover every row and whole
 texts. Null and empty texts are scored as texts without words. Without a
-positive every score is 0; without unlabelled text every score is 1.
+positive every score is 0; without unlabelled text every score is 1. Repeated
+rows each get a score; a repeated id is learned from once, by its text of the
+smallest hash. Of an empty table the result is empty.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 from ledgerlens.llm._features import QUALITY_FEATURES, quality_features
 from ledgerlens.llm._spark import fold, written
 from ledgerlens.llm._text import chunks, column
-from ledgerlens.llm._train import by_hash, training_ids
+from ledgerlens.llm._train import by_hash, one_text, training_ids
 
 POSITIVES, UNLABELLED = 6_000, 12_000
 HIDDEN, EPOCHS, BATCH, STEP = 24, 60, 512, 0.01
@@ -128,9 +130,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     trusted = labels.filter(F.col(label) == 1)
     ids = training_ids(trusted, label, positives, doc_id).select("__id").withColumn("p", F.lit(1))
     web = docs.select(F.col(doc_id).alias("__id")).filter(fold("__id", 5) != 0)
-    some = written(by_hash(web, F.col("__id"), unlabelled).distinct(), "quality-web").withColumn("u", F.lit(1))
+    some = written(by_hash(web.distinct(), F.col("__id"), unlabelled), "quality-web").withColumn("u", F.lit(1))
     chosen = written(ids.join(some, "__id", "full"), "quality-sample")
-    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).join(chosen, "__id").select("text", "p", "u")
+    rows = one_text(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).join(chosen, "__id"), "p", "u")
     got = _with_features(rows, ["p", "u"]).toPandas()
     x = got[QUALITY_FEATURES].to_numpy(float)
     order = np.lexsort(x.T)  # the rows come in any order

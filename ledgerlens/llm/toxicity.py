@@ -10,7 +10,9 @@ trees have not seen.
 The fit reads at most ``sample`` labelled documents outside the held-out fold
 (those of the smallest id hashes); scores cover every row and whole texts. Null
 and empty texts are scored as texts without words. Without labelled rows of
-both classes the score is the share of toxic ones (0 without any).
+both classes the score is the share of toxic ones (0 without any). Repeated rows
+each get a score; a repeated id is learned from once, by its text of the smallest
+hash. Of an empty table the result is empty.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import types as T
 from ledgerlens.llm._features import TOXIC_FEATURES, toxic_features
 from ledgerlens.llm._spark import fold, written
 from ledgerlens.llm._text import ALNUM, chunks, column, word_hashes, words
-from ledgerlens.llm._train import training_ids
+from ledgerlens.llm._train import one_text, training_ids
 
 SAMPLE = 12_000
 LEXICON, STRONG, LEAST_DOCS = 400, 3.0, 4
@@ -137,7 +139,7 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
         sample: int = SAMPLE, seed: int = 5) -> Model:
     ids = training_ids(labels, label, sample, doc_id)
-    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).join(ids, "__id").select("text", "label")
+    rows = one_text(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).join(ids, "__id"), "label").select("text", "label")
     rows = written(rows, "toxicity-sample")
     lexicon, odds = lexicon_of(rows)
 

@@ -299,3 +299,13 @@ def test_lexicon_is_that_of_a_plain_count(spark):
     starts, ends, _ = toxicity.words(d, off, toxicity.ALNUM)
     key = toxicity.word_hashes(d, starts, ends).tolist()
     assert want and dict(zip(got.tolist(), odds)) == {k: pytest.approx(o) for k, o in zip(key, want.values())}
+
+
+def test_a_repeated_id_is_learned_from_once(spark):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    rows = [(i, ("fine words here " if i % 2 else "vile vile YOU ") * 5 + str(i)) for i in range(40)]
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame(rows + [rows[3]] * 200 + [rows[4]] * 200, "doc_id long, text string")
+    for module in (puquality, toxicity):
+        got = [{(r.doc_id, r.score) for r in module.predict(once, module.fit(d, labels)).collect()} for d in (once, often)]
+        assert got[0] == got[1]
