@@ -20,6 +20,7 @@ from .. import bindings as B
 from ..functions.dates import daily_window, in_window, ts_literal
 from ..operators import cleaning, landing, quality, sketches
 from ..operators.extract import extract_protocol, extract_questions, questions_per_year, run_counters
+from ..operators.paging import result_pages
 from ..operators.worklist import (
     Days,
     Values,
@@ -336,6 +337,32 @@ def q_daily_window(spark, sf):
             .select("event_id", "ts", "user_id", "event_type")
 
 
+def q_search_pages(spark, sf):
+    """Each year's search as the finder reads it: the hits strictly inside the
+    interval by start time (ties by key), in pages of 100."""
+    hits = _t(spark, sf).orders.select("o_orderkey", F.col("o_orderdate").alias("beginn_start"))
+    year = F.year("beginn_start")
+    inside = in_window("beginn_start", F.make_timestamp(year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)),
+                       F.make_timestamp(year, F.lit(12), F.lit(31), F.lit(23), F.lit(59), F.lit(59)))
+    return result_pages(hits.withColumn("year_source", year).filter(inside),
+                        ["beginn_start", "o_orderkey"], group=["year_source"])
+
+
+def q_survey_code_list(spark, sf):
+    """The code list lands below the respondents' folder; each is read by its own
+    file pattern, and the answers are counted under the list's labels."""
+    e = _t(spark, sf).events
+    p = scratch_path(spark, "survey_landing")
+    e.select("event_id", F.col("event_type").alias("antwort")).write.option("header", True).csv(
+        f"{p}/respondents", compression="gzip")
+    writers.write_csv(e.select(F.col("event_type").alias("code"), F.concat(F.lit('Antwort "'), "event_type", F.lit('", alle'))
+                               .alias("bezeichnung")).distinct(), f"{p}/respondents/codes")
+    answers = readers.read_survey_csv(spark, p, glob="*.csv.gz", columns=["event_id", "antwort"])
+    codes = readers.read_survey_csv(spark, p, glob="*.csv", columns=["code", "bezeichnung"])
+    counted = answers.groupBy(F.col("antwort").alias("code")).agg(F.count("*").alias("n_answers"))
+    return counted.join(codes, "code", "left").select("code", "bezeichnung", "n_answers")
+
+
 # ------------------------------------------------------------------ sinks
 
 def q_roundtrip_parquet(spark, sf):
@@ -634,4 +661,6 @@ QUERIES: dict[str, Query] = {
     "spending_tree_json": q_spending_tree_json,
     "department_bridge": q_department_bridge,
     "department_bridge_pages": q_department_bridge_pages,
+    "search_pages": q_search_pages,
+    "survey_code_list": q_survey_code_list,
 }

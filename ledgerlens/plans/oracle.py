@@ -443,5 +443,12 @@ FROM (SELECT *, 'leading' AS role, o_orderkey AS n FROM orders WHERE o_orderkey
       UNION ALL SELECT *, 'involved', o_orderkey + unnest(range(1, o_orderkey % 3 + 1)) FROM orders)
 WHERE o_orderkey % 50 <> 0"""
     s["department_bridge"] = bridge
+    s["search_pages"] = """SELECT *, (position - 1) // 100 + 1 AS page FROM (
+SELECT o_orderkey, o_orderdate AS beginn_start, CAST(year(o_orderdate) AS INTEGER) AS year_source,
+       ROW_NUMBER() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderdate, o_orderkey) AS position
+FROM orders WHERE o_orderdate > make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0)
+  AND o_orderdate < make_timestamp(year(o_orderdate), 12, 31, 23, 59, 59))"""
+    s["survey_code_list"] = """SELECT event_type AS code, 'Antwort "' || event_type || '", alle' AS bezeichnung,
+       COUNT(*) AS n_answers FROM events GROUP BY event_type"""
     s["department_bridge_pages"] = bridge + " AND o_orderkey % 51 <> 0"
     return s
