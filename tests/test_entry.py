@@ -14,5 +14,5 @@ def test_entry_rows_and_stable_schema(spark):
 
 def test_every_query_callable_and_named(spark):
     qs = E.queries()
-    assert len(QUERIES) == 68 and set(QUERIES) <= set(qs) and all(callable(f) for f in qs.values())
+    assert len(QUERIES) == 70 and set(QUERIES) <= set(qs) and all(callable(f) for f in qs.values())
     assert all(isinstance(v, str) and v.strip() for v in E.oracle_sql().values())
