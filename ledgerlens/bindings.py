@@ -308,10 +308,22 @@ def hits(t: Tables) -> DataFrame:
 _LABEL_1, _LABEL_6 = SCORE_LABELS[0][0], SCORE_LABELS[-1][0]
 
 
-def answer_label_sql(n: str) -> str:
+_ANSWERS = 8
+
+
+def _answer_label(n: int) -> str:
     """0 -> null, 1 and 6 -> the labelled ends, 7 -> 'weiss nicht', else 'Note n'."""
-    return (f"CASE {n} WHEN 0 THEN NULL WHEN 1 THEN '{_LABEL_1}' WHEN 6 THEN '{_LABEL_6}' "
-            f"WHEN 7 THEN 'weiss nicht' ELSE concat('Note ', CAST({n} AS STRING)) END")
+    if n == 0:
+        return "NULL"
+    return f"'{ {1: _LABEL_1, 6: _LABEL_6, 7: 'weiss nicht'}.get(n, f'Note {n}') }'"
+
+
+def answer_label_sql(n: str) -> str:
+    """The label of ``n % 8`` by its place in a constant list (a remainder has the
+    sign of ``n``): a CASE with a text built for each of some 400 columns was
+    most of a survey job's time."""
+    labels = ", ".join(_answer_label(i) for i in range(1 - _ANSWERS, _ANSWERS))
+    return f"get(array({labels}), CAST({n} % {_ANSWERS} AS INT) + {_ANSWERS - 1})"
 
 
 def raw_survey(t: Tables) -> DataFrame:
@@ -336,7 +348,7 @@ def raw_survey_from_events(e: DataFrame) -> DataFrame:
         "CASE WHEN user_id % 2 = 0 THEN 'weiblich' ELSE 'männlich' END AS A1BVSSex01",
         "CAST(user_id % 60 + 18 AS STRING) AS A1BVSAlterV03",
     ]
-    cols += [f"{answer_label_sql(f'((event_id + {j}) % 8)')} AS {c}"
+    cols += [f"{answer_label_sql(f'(event_id + {j})')} AS {c}"
              for j, c in enumerate(survey_answer_columns())]
     return e.selectExpr(*cols)
 
