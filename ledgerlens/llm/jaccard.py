@@ -14,7 +14,8 @@ a text without words, or a null text, has no set and links to nothing.
    or a very common token: it is compared in blocks, block against block.
 3. Runs repeat until a pair at the threshold itself is found with probability
    ``recall`` (more similar pairs sooner).
-4. Classes joined by likely pairs form candidate components; in each, all pairs
+4. Classes joined by likely pairs form candidate components (those of the first
+   runs are found first, later runs tell only what joins them); in each, all pairs
    are checked exactly, by the sizes of intersections of whole sets. A
    component is checked in blocks of bounded rows and bytes, and only counts
    and a spanning forest leave a block, between two blocks only what joins
@@ -47,6 +48,7 @@ SHINGLE, THRESHOLD, RECALL = 5, 0.8, 0.99
 COORDS = 64
 SMALL = 64  # classes compared at once at a leaf
 LEVELS = 4
+FIRST_RUNS = 2  # runs whose components the others start from
 BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20  # of an exact check
 SKETCH_SLACK = 0.2  # four standard deviations of 64 agreements at 0.8
 
@@ -208,18 +210,59 @@ def _stream(batches, key: list[str]):
         yield rest
 
 
-def likely_links(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Edges (a, b) between class ids that agree in enough minhashes, spanning
-    the likely pairs of every leaf."""
+def _first_of(keys: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """For each row the first row of its key (rows sorted by key) with its label."""
+    order = np.lexsort((label, keys))  # stable: the first row of a run is the smallest
+    k, x = keys[order], label[order]
+    new = np.append(True, (k[1:] != k[:-1]) | (x[1:] != x[:-1]))
+    out = np.empty(len(keys), np.int64)
+    out[order] = order[new][np.cumsum(new) - 1]
+    return out
+
+
+def _leaf_links(leaves: DataFrame, need: int) -> DataFrame:
+    """Edges (a, b) between labels, from leaves (label, node, own, two, sk): of
+    the likely pairs of a leaf what joins different labels, as a spanning forest."""
+    def run(batches):
+        for t in _stream(batches, ["node"]):
+            label = t.column("label").to_numpy()
+            keys = t.column("node").to_numpy()
+            own, two = (t.column(c).to_numpy() for c in ("own", "two"))
+            sk = t.column("sk").combine_chunks().flatten().to_numpy().reshape(-1, COORDS)
+            first = _first_of(keys, label)
+            none = np.zeros((2, 0), np.int64)
+            inner, outer = [none], [none]
+            for i, j in leaf_pairs(keys, sk, need):
+                apart = first[i] != first[j]
+                i, j = i[apart], j[apart]
+                same = own[i] == own[j]
+                i, j = first[i], first[j]
+                inner.append(np.stack(_forest_of(len(label), i[same], j[same])))
+                outer.append(np.stack(_forest_of(len(label), i[~same], j[~same])))
+            v, root = _between(len(label), np.concatenate(inner, axis=1), np.concatenate(outer, axis=1), ~two)
+            if len(v):
+                yield pa.RecordBatch.from_arrays([pa.array(label[v]), pa.array(label[root])], names=["a", "b"])
+
+    leaves = leaves.repartition("node").sortWithinPartitions("node")
+    return leaves.mapInArrow(run, "a long, b long").distinct()
+
+
+def _likely(classes: DataFrame, threshold: float, recall: float):
+    """(edges of the first runs, their components, edges of the other runs), spanning
+    the likely pairs of every leaf: classes that agree in enough minhashes. The
+    other runs tell only what joins different components of the first ones, so
+    that a dense group, which falls together in every run, leaves the edges of a
+    few runs and not of all."""
     width = 1 / threshold
     runs = math.ceil(math.log(1 - recall) / math.log(1 - survival(LEVELS, threshold, width)))
     need = math.ceil((threshold - SKETCH_SLACK) * COORDS)
     small = classes.select("id", F.expr("transform(sig, x -> cast((x & 255) - 128 as tinyint))").alias("sk"))
-    roots = F.transform(F.sequence(F.lit(1), F.lit(runs)), lambda r: F.xxhash64(F.lit("run"), r))
-    rows = classes.select("id", "sig", F.explode(roots).alias("node"))
+    roots = F.transform(F.sequence(F.lit(1), F.lit(runs)), lambda r: F.struct(
+        F.xxhash64(F.lit("run"), r).alias("node"), (r <= FIRST_RUNS).alias("early")))
+    rows = classes.select("id", "sig", F.explode(roots).alias("r")).select("id", "sig", "r.node", "r.early")
     leaves = None
     for level in range(LEVELS):
-        child = written(rows.select("id", F.explode(_children(F.col("node"), level, width)).alias("node")),
+        child = written(rows.select("id", "early", F.explode(_children(F.col("node"), level, width)).alias("node")),
                         f"jaccard-level{level}")
         # written, so that a node with very many rows can be split in the join
         size = written(child.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), f"jaccard-size{level}")
@@ -227,7 +270,7 @@ def likely_links(classes: DataFrame, threshold: float, recall: float) -> DataFra
         large = F.lit(level < LEVELS - 1) & (F.col("size") > SMALL)
         leaf = child.filter(~large)
         leaves = leaf if leaves is None else leaves.unionByName(leaf)
-        rows = child.filter(large).select("id", "node").join(classes.select("id", "sig"), "id")
+        rows = child.filter(large).select("id", "early", "node").join(classes.select("id", "sig"), "id")
     # a large node of the last level: block against block
     nb = F.ceil(F.col("size") / float(BLOCK_ROWS)).cast("int")
     own = F.pmod(F.xxhash64("id"), nb).cast("int")
@@ -235,28 +278,30 @@ def likely_links(classes: DataFrame, threshold: float, recall: float) -> DataFra
         F.transform(F.sequence(F.lit(0), nb - 1), lambda j: F.struct(
             F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi"))))
     own = F.when(F.col("size") <= BLOCK_ROWS, F.lit(0)).otherwise(own)
-    leaves = (leaves.select("id", "node", own.alias("own"), F.explode(blocks).alias("b"))
-              .select("id", "own", (F.col("b.lo") != F.col("b.hi")).alias("two"), F.xxhash64("node", "b.lo", "b.hi").alias("node"))
-              .join(small, "id")
-              .repartition("node").sortWithinPartitions("node"))
+    leaves = (leaves.select("id", "early", "node", own.alias("own"), F.explode(blocks).alias("b"))
+              .select("id", "early", "own", (F.col("b.lo") != F.col("b.hi")).alias("two"),
+                      F.xxhash64("node", "b.lo", "b.hi").alias("node")))
+    early = leaves.filter("early").join(small.withColumn("label", F.col("id")), "id")
+    first = _leaf_links(early.select("label", "node", "own", "two", "sk"), need)
+    prior = components(first, "jaccard-early")
+    named = small.join(prior, F.col("id") == F.col("v"), "left").select("id", "sk", F.coalesce("label", "id").alias("label"))
+    late = leaves.filter("not early").join(named, "id")
+    return first, prior, _leaf_links(late.select("label", "node", "own", "two", "sk"), need)
 
-    def run(batches):
-        for t in _stream(batches, ["node"]):
-            ids = t.column("id").to_numpy()
-            keys = t.column("node").to_numpy()
-            own, two = (t.column(c).to_numpy() for c in ("own", "two"))
-            sk = t.column("sk").combine_chunks().flatten().to_numpy().reshape(-1, COORDS)
-            none = np.zeros((2, 0), np.int64)
-            inner, outer = [none], [none]
-            for i, j in leaf_pairs(keys, sk, need):
-                same = own[i] == own[j]
-                inner.append(np.stack(_forest_of(len(ids), i[same], j[same])))
-                outer.append(np.stack(_forest_of(len(ids), i[~same], j[~same])))
-            v, root = _between(len(ids), np.concatenate(inner, axis=1), np.concatenate(outer, axis=1), ~two)
-            if len(v):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[v]), pa.array(ids[root])], names=["a", "b"])
 
-    return leaves.mapInArrow(run, "a long, b long").distinct()
+def likely_links(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """Edges (a, b) between class ids, spanning the likely pairs of every leaf."""
+    first, _, late = _likely(classes, threshold, recall)
+    return first.unionByName(late)
+
+
+def likely_groups(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """(v, label): the components of :func:`likely_links`."""
+    _, prior, late = _likely(classes, threshold, recall)
+    top = components(late, "jaccard-likely")
+    of = top.select(F.col("v").alias("label"), F.col("label").alias("__top"))
+    return (prior.join(of, "label", "left").select("v", F.coalesce("__top", "label").alias("label"))
+            .unionByName(top.join(prior, "v", "left_anti")))
 
 
 def _forest_of(n, i, j):
@@ -350,7 +395,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
         .agg(F.min(F.struct("doc", "key")).alias("rep"), F.min("doc").alias("set_id"), F.count("*").alias("copies"),
              F.first("sig").alias("sig"))
         .withColumn("id", F.xxhash64("k1", "k2")), "jaccard-classes")
-    groups = components(likely_links(classes, threshold, recall), "jaccard-likely")
+    groups = likely_groups(classes, threshold, recall)
     chosen = groups.join(classes, F.col("v") == F.col("id")).select(
         F.col("label").alias("comp"), "id", "k1", "k2", "copies", "rep")
     reps = chosen.select(F.col("rep.doc").alias("__doc"), F.col("rep.key").alias("__key")).distinct()
