@@ -31,6 +31,13 @@ from ledgerlens.llm._train import one_text, training_ids
 SAMPLE = 12_000
 LEXICON, STRONG, LEAST_DOCS = 400, 3.0, 4
 TREES, DEPTH, RATE, BINS = 80, 3, 0.15, 32
+CHUNK = 1 << 20  # text bytes worked on at once: the features hold some 40 bytes for each
+
+
+def features(batches, lexicon: np.ndarray, odds: np.ndarray):
+    """(slice of a record batch, features of its rows)"""
+    for batch, data, off in chunks(batches, limit=CHUNK):
+        yield batch, toxic_features(data, off, lexicon, odds, STRONG)
 
 
 def lexicon_of(rows: DataFrame, size: int = LEXICON, least: int = LEAST_DOCS):
@@ -38,7 +45,7 @@ def lexicon_of(rows: DataFrame, size: int = LEXICON, least: int = LEAST_DOCS):
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
 
     def count(batches):
-        for batch, data, off in chunks(batches):
+        for batch, data, off in chunks(batches, limit=CHUNK):
             starts, ends, b = words(data, off, ALNUM)
             h = word_hashes(data, starts, ends).view(np.int64)
             row = np.repeat(np.arange(len(b) - 1), np.diff(b))
@@ -144,8 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str =
     lexicon, odds = lexicon_of(rows)
 
     def run(batches):
-        for batch, data, off in chunks(batches):
-            x = toxic_features(data, off, lexicon, odds, STRONG)
+        for batch, x in features(batches, lexicon, odds):
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), column(batch, "label")], names=[*TOXIC_FEATURES, "label"])
 
     got = rows.mapInArrow(run, ", ".join(f"{c} double" for c in TOXIC_FEATURES) + ", label int").toPandas()
@@ -171,8 +177,8 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
 
     def run(batches):
         m = shared.value
-        for batch, data, off in chunks(batches):
-            s = m.score(toxic_features(data, off, m.lexicon, m.odds, STRONG))
+        for batch, x in features(batches, m.lexicon, m.odds):
+            s = m.score(x)
             yield pa.RecordBatch.from_arrays([column(batch, "id"), column(batch, "held_out"), pa.array(s),
                                               pa.array((s >= threshold).astype("int32"))], names=schema.names)
 
