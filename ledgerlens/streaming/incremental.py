@@ -3,12 +3,17 @@
 A Structured Streaming file source remembers the files it has processed in
 its checkpoint, so each run (``trigger(availableNow=True)``: everything new,
 then stop) reads only new files.  Each micro-batch is cleaned by the same
-function as the batch job and written with a dynamic partition overwrite
-keyed by the checkpoint's own id and the batch id: if an executor or the driver
-dies mid-batch, the restarted query replays that batch id and replaces its
+function as the batch job and becomes one partition of the sink, named by the
+checkpoint's own id and the batch id: if an executor or the driver dies
+mid-batch, the restarted query replays that batch id and replaces its
 partition instead of appending a second copy, and a new checkpoint over a kept
 sink (which counts its batches from 0 again) replaces nothing.  Nothing is cached on a machine-local disk; the
 checkpoint lives below the shared ``spark.checkpoint.dir``.
+
+The names of a batch's partition are known before it is written, so it is
+written as a plain table beside its place and moved there when it is whole.
+``partitionBy`` would take the two names from each row instead, and copy all
+other columns of the row into a new one to be rid of them.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 BATCH_COLUMN = "batch_id"
 RUN_COLUMN = "load_id"
@@ -37,6 +42,16 @@ def stream_files(spark: SparkSession, source_dir: str, schema: StructType, *, fm
     return r.load(source_dir)
 
 
+def _replace(spark: SparkSession, staged: str, path: str) -> None:
+    """Move the folder ``staged`` to ``path``, in place of what is there."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{staged} cannot be moved to {path}")
+
+
 def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
                     clean_fn: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, *,
                     fmt: str = "parquet", glob: str | None = None, sink_format: str = "parquet",
@@ -73,10 +88,10 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
         if tasks:
             batch = batch.repartition(tasks)
         load = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-        (clean_fn(batch.observe(seen, F.count(F.lit(1)).alias("n")))
-             .withColumn(RUN_COLUMN, F.lit(load)).withColumn(BATCH_COLUMN, F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(RUN_COLUMN, BATCH_COLUMN).format(sink_format).save(sink))
+        staged = f"{sink}/.staging-{load}-{batch_id}"  # hidden from readers; a replay writes it anew
+        (clean_fn(batch.observe(seen, F.count(F.lit(1)).alias("n"))).drop(RUN_COLUMN, BATCH_COLUMN)
+             .write.mode("overwrite").format(sink_format).save(staged))
+        _replace(batch.sparkSession, staged, f"{sink}/{RUN_COLUMN}={load}/{BATCH_COLUMN}={batch_id}")
         rows[batch_id] = seen.get["n"]
 
     q = (stream.writeStream.foreachBatch(write_batch)
@@ -88,9 +103,12 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: StructType,
 
 def read_sink(spark: SparkSession, sink: str, schema: StructType | None = None,
               sink_format: str = "parquet") -> DataFrame:
-    """The accumulated sink without the bookkeeping columns."""
+    """The accumulated sink without the bookkeeping columns.
+
+    Each batch's folder is read as a table of its own right: over the whole tree
+    the scan would return the two columns, and a projection that drops them
+    copies all others."""
     r = spark.read.format(sink_format)
     if schema is not None:
-        r = r.schema(StructType(list(schema.fields) + [StructField(RUN_COLUMN, StringType()),
-                                                       StructField(BATCH_COLUMN, LongType())]))
-    return r.load(sink).drop(RUN_COLUMN, BATCH_COLUMN)
+        r = r.schema(schema)
+    return r.load(f"{sink}/{RUN_COLUMN}=*/{BATCH_COLUMN}=*")
